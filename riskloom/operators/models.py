@@ -38,13 +38,20 @@ def train_mlp(
     max_iter: int = MAX_ROUNDS,
     seed: int = SEED,
     initial_weights=None,
+    partitions: int | None = None,
 ) -> MultilayerPerceptronClassificationModel:
     """Fit the network on standardised columns.
 
-    Gradients are summed over the partitions of ``df`` in each round; only the
-    weights, whose number the layers fix, reach the driver.
+    Gradients are summed over the partitions in each round; only the weights,
+    whose number the layers fix, reach the driver. Rows are spread once over
+    ``partitions``, by default one per core or shuffle partition if more, as
+    every round is bound by computation and as slow as its largest partition.
     """
-    matrix = feature_matrix(df, features, keep=(label,))
+    spark = df.sparkSession
+    if partitions is None:
+        shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        partitions = max(spark.sparkContext.defaultParallelism, shuffles)
+    matrix = feature_matrix(df, features, keep=(label,)).repartition(partitions)
     classifier = MultilayerPerceptronClassifier(
         layers=[len(features), *hidden, 2],
         featuresCol="features",
