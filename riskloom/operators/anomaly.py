@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +15,10 @@ from ..functions.rules import flag
 from ..session import stage
 from .ordered import exact_quantiles
 
+# Functions of this module travel with the tasks that use them, so executors
+# need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _TREE_SCHEMA = (
     "tree int, feature array<int>, cut array<double>, "
     "left array<int>, right array<int>, path array<double>"
@@ -62,7 +68,7 @@ def grow_tree(
     return pd.DataFrame([{"tree": tree, **nodes}])
 
 
-def _fraction(*columns: Column) -> Column:
+def _fraction(*columns: Column | str) -> Column:
     """A hash of the columns as a number in [0, 1)."""
     low_bits = F.xxhash64(*columns).bitwiseAND(F.lit((1 << _FRACTION_BITS) - 1))
     return low_bits / F.lit(float(1 << _FRACTION_BITS))
@@ -86,25 +92,17 @@ def fit_forest(
     pooled = complete
     if pool < rows:
         pooled = complete.where(_fraction("_key", F.lit(seed), F.lit("pool")) < pool / rows)
-    draws = F.transform(
-        F.sequence(F.lit(0), F.lit(trees - 1)),
-        lambda t: F.struct(
-            t.alias("tree"), _fraction(F.col("_key"), F.lit(seed), t).alias("draw")
-        ),
-    )
     drawn = (
-        pooled.withColumn(
-            "_pick", F.explode(F.filter(draws, lambda d: d["draw"] < min(1.0, 2 * sample / pool)))
-        )
-        .withColumn("tree", F.col("_pick")["tree"])
-        .withColumn("_draw", F.col("_pick")["draw"])
-        .drop("_pick")
+        pooled.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+        .withColumn("_draw", _fraction("_key", F.lit(seed), "tree"))
+        .where(F.col("_draw") < min(1.0, 2 * sample / pool))
     )
 
     def grow(group: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         return grow_tree(int(group[0]), rows, columns, sample, seed)
 
-    grown = drawn.groupBy("tree").applyInPandas(grow, _TREE_SCHEMA)
+    # Growing is bound by computation: one small task per tree.
+    grown = drawn.repartition(trees, "tree").groupBy("tree").applyInPandas(grow, _TREE_SCHEMA)
     return [
         {
             "feature": np.asarray(row["feature"], dtype=np.int64),
