@@ -44,7 +44,7 @@ MKT_DAILY = f"""mkt_d AS (
 
 def r(expression: str, digits: int = 4) -> str:
     """Rounded like the queries' doubles."""
-    return f"round({expression} + 3.7e-{digits + 2}, {digits})"
+    return f"round({expression} + 3.7e-{digits + 2}, {digits}) + 0.0"
 
 
 def with_(*parts: str) -> str:

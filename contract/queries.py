@@ -50,10 +50,12 @@ def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
 
     The small shift keeps values that end in a 5 off the rounding edge.
     """
-    shift = F.lit(float(f"3.7e-{digits + 2}"))
+    shift, scale = F.lit(float(f"3.7e-{digits + 2}")), F.lit(10.0**digits)
     return df.select(
         *(
-            F.round(F.col(name) + shift, digits).alias(name) if kind == "double" else F.col(name)
+            (F.rint((F.col(name) + shift) * scale) / scale + F.lit(0.0)).alias(name)
+            if kind == "double"
+            else F.col(name)
             for name, kind in df.dtypes
         )
     )

@@ -24,6 +24,7 @@ _TREE_SCHEMA = (
     "left array<int>, right array<int>, path array<double>"
 )
 _FRACTION_BITS = 53
+AUTO_CUT = -0.5
 
 
 def average_path(rows: int) -> float:
@@ -76,9 +77,10 @@ def _fraction(*columns: Column | str) -> Column:
 
 def fit_forest(
     df: DataFrame, key: str, columns: Sequence[str], trees: int, sample: int, seed: int
-) -> list[dict[str, np.ndarray]]:
-    """Grow ``trees`` trees, each from about ``sample`` rows drawn by hash of the row key.
+) -> tuple[list[dict[str, np.ndarray]], int]:
+    """Grow ``trees`` trees, each from ``sample`` rows drawn by hash of the row key.
 
+    Returns the trees and the rows per tree, fewer where the table is smaller.
     Rows first pass one draw into a pool of about trees x sample rows, so the
     per-tree draws cost nothing on the full table. Groups stay near twice
     ``sample`` rows, and the model is bounded by trees x sample nodes.
@@ -87,7 +89,8 @@ def fit_forest(
     complete = df.dropna(subset=columns).select(F.col(key).alias("_key"), *columns)
     rows = complete.count()
     if not rows:
-        return []
+        return [], 0
+    sample = min(sample, rows)
     pool = min(rows, trees * sample)
     pooled = complete
     if pool < rows:
@@ -103,7 +106,7 @@ def fit_forest(
 
     # Growing is bound by computation: one small task per tree.
     grown = drawn.repartition(trees, "tree").groupBy("tree").applyInPandas(grow, _TREE_SCHEMA)
-    return [
+    forest = [
         {
             "feature": np.asarray(row["feature"], dtype=np.int64),
             "cut": np.asarray(row["cut"], dtype=float),
@@ -113,6 +116,7 @@ def fit_forest(
         }
         for row in sorted(grown.collect(), key=lambda r: r["tree"])
     ]
+    return forest, sample
 
 
 def mean_paths(forest: list[dict[str, np.ndarray]], data: np.ndarray, sample: int) -> np.ndarray:
@@ -145,24 +149,25 @@ def isolation_scores(
 
     ``key`` must be unique per row, as draws hash it. With ``contamination``
     the flagged share follows an exact quantile of the scores; without it the
-    cut is -0.5. A row with a missing value gets no score and no flag.
+    cut is -0.5, a row of average depth. A row with a missing value gets no
+    score and no flag.
     """
     columns = list(columns)
-    forest = df.sparkSession.sparkContext.broadcast(
-        fit_forest(df, key, columns, trees, sample, seed)
-    )
-    usual = average_path(sample)
+    grown, drawn = fit_forest(df, key, columns, trees, sample, seed)
+    forest = df.sparkSession.sparkContext.broadcast(grown)
+    usual = average_path(drawn) or 1.0
 
     @F.pandas_udf("double")
     def score(features: pd.DataFrame) -> pd.Series:
         data = features.to_numpy(dtype=float)
-        scores = -np.power(2.0, -mean_paths(forest.value, data, sample) / usual)
+        scores = -np.power(2.0, -mean_paths(forest.value, data, drawn) / usual)
         return pd.Series(np.where(np.isnan(data).any(axis=1), np.nan, scores))
 
     raw = score(F.struct(*(F.col(c).cast("double").alias(c) for c in columns)))
     scored = df.withColumn("anomaly_score", F.nanvl(raw, F.lit(None).cast("double")))
     if contamination is None:
-        return scored.withColumn("is_anomaly", flag(F.col("anomaly_score") < -0.5))
+        # Rounded, so that a row of exactly average depth is not flagged.
+        return scored.withColumn("is_anomaly", flag(F.round("anomaly_score", 9) < AUTO_CUT))
     scored = stage(scored, "anomaly")
     cut = exact_quantiles(scored, "anomaly_score", [contamination]).agg(F.max("quantile")).scalar()
     return scored.withColumn("is_anomaly", flag(F.col("anomaly_score") < cut))

@@ -7,9 +7,12 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
+from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
 
+PARTITION_MB = 128
+
 _scope: ContextVar[str | None] = ContextVar("riskloom_scratch", default=None)
 _local_folders: dict[str, str] = {}
 
@@ -18,13 +21,14 @@ def build_session(
     app_name: str = "riskloom",
     master: str | None = None,
     shuffle_partitions: int | None = None,
+    shuffle_gb: float | None = None,
     **conf: str,
 ) -> SparkSession:
     """A session with adaptive execution, UTC time and skew handling on.
 
-    On a cluster leave ``shuffle_partitions`` high (several thousand): adaptive
-    execution merges small partitions back to the advisory size, so a high
-    start costs little and keeps single partitions within executor memory.
+    Give the size of the largest expected shuffle as ``shuffle_gb`` and it
+    starts with partitions of the advisory size; adaptive execution merges those
+    that turn out small. Spark's own default would put 100 TB into 200 of them.
     """
     builder = (
         SparkSession.builder.appName(app_name)
@@ -32,15 +36,17 @@ def build_session(
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", f"{PARTITION_MB}m")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     if master:
         builder = builder.master(master)
+    if shuffle_gb:
+        shuffle_partitions = max(200, ceil(shuffle_gb * 1024 / PARTITION_MB))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in conf.items():
-        builder = builder.config(key.replace("__", "."), value)
+        builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
@@ -60,10 +66,18 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[app]
 
 
+def _app_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/riskloom/{spark.sparkContext.applicationId}"
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path not used before, under the current scratch scope."""
-    base = _scope.get() or f"{shared_folder(spark)}/riskloom/{spark.sparkContext.applicationId}"
-    return f"{base}/{label}-{uuid.uuid4().hex}"
+    return f"{_scope.get() or _app_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 @contextmanager
@@ -78,8 +92,12 @@ def scratch_scope(spark: SparkSession) -> Iterator[str]:
         yield folder
     finally:
         _scope.reset(token)
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(spark, folder)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete all this application has staged; its staged frames end with it."""
+    _delete(spark, _app_folder(spark))
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
