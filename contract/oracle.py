@@ -301,6 +301,15 @@ AUC = """ranked AS (
     + (COUNT(*) OVER (PARTITION BY fraud_probability) - 1) / 2.0 AS mid
   FROM judged WHERE fraud_label IS NOT NULL AND fraud_probability IS NOT NULL)"""
 
+BINS = """binned AS (
+  SELECT fraud_label, CAST(GREATEST(1, LEAST(199, ceil(fraud_probability * 199))) AS INTEGER)
+    AS fraud_probability
+  FROM judged)"""
+POSITIVES, NEGATIVES = "COUNT(*) FILTER (y = 1)", "COUNT(*) FILTER (y = 0)"
+RANK_SUM = f"SUM(mid) FILTER (y = 1) - {POSITIVES} * ({POSITIVES} + 1) / 2.0"
+AUC_ROW = f"""SELECT {r(f'({RANK_SUM}) / ({POSITIVES} * {NEGATIVES})')} AS auc,
+  {POSITIVES} AS positives, {NEGATIVES} AS negatives FROM ranked"""
+
 REPORT = """counts AS (
   SELECT CAST(COUNT(*) AS BIGINT) AS n,
     COUNT(*) FILTER (fraud_label = 0) AS a0, COUNT(*) FILTER (fraud_label = 1) AS a1,
@@ -363,6 +372,11 @@ ORACLE: dict[str, str] = {
     "ctas_if_absent": FIN_HOURLY,
     "ctas_strict": with_(*ALERTS)
     + select("alert", "event_day, fraud_label, alert_level, true AS refused", "fraud_score"),
+    "namespaces": with_(*FEAT_D, *FEAT_H)
+    + """SELECT 'raw.finance' AS table_name, COUNT(*) AS row_count FROM tx_h
+UNION ALL SELECT 'feature.finance_fraud_features', COUNT(*) FROM fin_h
+UNION ALL SELECT 'label.fraud_label', COUNT(*) FROM feat_h
+UNION ALL SELECT 'alert.daily_fraud_alert', COUNT(*) FROM feat_d""",
     "query_registry": MKT_HOURLY_SQL,
     # Projections
     "silver_clean": f"""SELECT CAST(o_custkey AS VARCHAR) AS customer_id, o_orderkey AS tx_id,
@@ -604,9 +618,9 @@ UNION ALL SELECT 'no_such_key', 'error', 'Invalid query_key', NULL, NULL""",
             ),
         ]
     ),
-    "roc_auc": with_(*JUDGED_CD, AUC)
-    + f"""SELECT {r('(SUM(mid) FILTER (y = 1) - COUNT(*) FILTER (y = 1) * (COUNT(*) FILTER (y = 1) + 1) / 2.0) / (COUNT(*) FILTER (y = 1) * COUNT(*) FILTER (y = 0))')}
-  AS auc, COUNT(*) FILTER (y = 1) AS positives, COUNT(*) FILTER (y = 0) AS negatives FROM ranked""",
+    "roc_auc": with_(*JUDGED_CD, AUC) + AUC_ROW,
+    "roc_auc_binned": with_(*JUDGED_CD, BINS, AUC.replace("judged", "binned"))
+    + AUC_ROW,
     "log_loss": with_(*JUDGED_CD, """clipped AS (SELECT fraud_label AS y,
   GREATEST(1e-7, LEAST(1 - 1e-7, fraud_probability)) AS p FROM judged)""")
     + f"SELECT {r('AVG(-(y * ln(p) + (1 - y) * ln(1 - p)))')} AS log_loss FROM clipped",
@@ -628,6 +642,7 @@ UNION ALL SELECT 'no_such_key', 'error', 'Invalid query_key', NULL, NULL""",
     + f"SELECT {STREAM_COLUMNS} FROM tx_h WHERE event_type <> 'fail_tx'",
     "parse_event_rejects": with_(TX_HOURLY)
     + f"SELECT {BROKEN} AS value FROM tx_h WHERE event_type = 'fail_tx'",
+    "stream_source": "SELECT event_id || '|' || event_type || '|' || props AS value FROM events",
     "stream_append": with_(TX_HOURLY) + f"SELECT {STREAM_COLUMNS} FROM tx_h",
     # Jobs
     "medallion_run": CUSTOMER_FEATURES,

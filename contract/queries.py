@@ -241,6 +241,22 @@ def ctas_strict(spark: SparkSession, d: str) -> DataFrame:
     return rounded(kept.withColumn("refused", F.lit(refused)))
 
 
+@query
+def namespaces(spark: SparkSession, d: str) -> DataFrame:
+    """One stored table per namespace, with its rows."""
+    prefix = _namespaces(spark)
+    hours = features.finance_features(fx.tx_hourly(spark, d), "hour")
+    stored = {
+        "raw.finance": fx.tx_hourly(spark, d),
+        "feature.finance_fraud_features": hours,
+        "label.fraud_label": labels.label_hourly(_feature_hourly(spark, d)),
+        "alert.daily_fraud_alert": _alerts(spark, d),
+    }
+    return quality.source_row_counts(
+        {name: tables.materialize(df, qualified(name, prefix)) for name, df in stored.items()}
+    )
+
+
 @query
 def query_registry(spark: SparkSession, d: str) -> DataFrame:
     prefix = _namespaces(spark)
@@ -670,6 +686,11 @@ def roc_auc(spark: SparkSession, d: str) -> DataFrame:
     return rounded(metrics.roc_auc(_judged(spark, d), "fraud_label", "fraud_probability"))
 
 
+@query
+def roc_auc_binned(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(metrics.roc_auc_binned(_judged(spark, d), "fraud_label", "fraud_probability"))
+
+
 @query
 def log_loss(spark: SparkSession, d: str) -> DataFrame:
     return rounded(metrics.log_loss(_judged(spark, d), "fraud_label", "fraud_probability"))
@@ -781,6 +802,17 @@ def parse_event_rejects(spark: SparkSession, d: str) -> DataFrame:
     return events.parse_events(_messages(spark, d))[1]
 
 
+@query
+def stream_source(spark: SparkSession, d: str) -> DataFrame:
+    """Raw messages through a file stream."""
+    inbox, out, state = (scratch_path(spark, name) for name in ("inbox", "stream", "state"))
+    rows = fx.table(spark, d, "events")
+    rows.select(F.concat_ws("|", "event_id", "event_type", "props")).write.text(inbox)
+    source = events.stream_source(spark, "text", path=inbox)
+    events.stream_append(source, out, state, once=True).awaitTermination()
+    return files.read_parquet(spark, out)
+
+
 @query
 def stream_append(spark: SparkSession, d: str) -> DataFrame:
     inbox, out, state = (scratch_path(spark, name) for name in ("inbox", "stream", "state"))

@@ -44,10 +44,15 @@ Base reasoning strictly on inputs above.
 
 def plain_number(column: Column) -> Column:
     """Shortest decimal text without an exponent; whole doubles end in ``.0``."""
-    digits = column.cast("double").try_cast("decimal(38,18)").cast("string")
-    short = F.regexp_replace(F.regexp_replace(digits, "0+$", ""), r"\.$", ".0")
-    # NaN and numbers beyond the decimal range keep their own text.
-    return F.coalesce(short, F.lower(column.cast("string")))
+    text = column.cast("string")
+    digits = F.rtrim(column.try_cast("decimal(38,18)").cast("string"), F.lit("0"))
+    plain = F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
+    # Numbers beyond the decimal range keep their exponent.
+    return (
+        F.when(text.contains("E"), F.coalesce(plain, F.lower(text)))
+        .when(F.isnan(column), "nan")
+        .otherwise(text)
+    )
 
 
 def fill(template: str, types: dict[str, str]) -> Column:

@@ -17,7 +17,7 @@ from ..functions import rules
 from ..schema import FEATURES
 from ..session import stage
 from .clean import decision_threshold
-from .metrics import roc_auc
+from .metrics import roc_auc_binned
 from .splits import SEED, Scaler, apply_standard
 from .training import feature_matrix
 
@@ -97,7 +97,7 @@ def train_early_stopping(
         model = train_mlp(train, features, label, hidden, steps_per_round, seed, weights)
         weights = model.weights
         scored = with_probability(model, validation, features, keep=(label,))
-        auc = roc_auc(scored, label, "fraud_probability").first()["auc"]
+        auc = roc_auc_binned(scored, label, "fraud_probability").first()["auc"]
         history.append(auc)
         if best is None or (auc is not None and auc > best_auc):
             best, best_round = model, number

@@ -118,6 +118,18 @@ def test_auc(spark):
     assert turned == pytest.approx(1 - auc)
 
 
+def test_binned_auc(spark):
+    rng = random.Random(3)
+    rows = [(int(rng.random() < 0.3), rng.choice([0.0, 1.0, rng.random()])) for _ in range(500)]
+    rows += [(0, None), (1, None)]
+    df = spark.createDataFrame(rows, "y int, p double").repartition(6)
+    steps = [-1e-7] + [i / 199 for i in range(1, 199)] + [1 + 1e-7]
+    binned = [(y, sum(p > t for t in steps)) for y, p in rows if p is not None]
+    got = metrics.roc_auc_binned(df, "y", "p").first()
+    assert got["auc"] == pytest.approx(brute_auc(binned))
+    assert got["positives"] + got["negatives"] == 500
+
+
 def test_auc_of_one_class(make):
     row = metrics.roc_auc(make([(1, 0.5), (1, 0.6)], "y int, p double"), "y", "p").first()
     assert (row["auc"], row["positives"], row["negatives"]) == (None, 2, 0)
