@@ -38,20 +38,17 @@ def train_mlp(
     max_iter: int = MAX_ROUNDS,
     seed: int = SEED,
     initial_weights=None,
-    partitions: int | None = None,
+    spread: bool = True,
 ) -> MultilayerPerceptronClassificationModel:
     """Fit the network on standardised columns.
 
     Gradients are summed over the partitions in each round; only the weights,
-    whose number the layers fix, reach the driver. Rows are spread once over
-    ``partitions``, by default one per core or shuffle partition if more, as
-    every round is bound by computation and as slow as its largest partition.
+    whose number the layers fix, reach the driver. ``spread`` first evens out
+    the rows, as every round is as slow as its largest partition.
     """
-    spark = df.sparkSession
-    if partitions is None:
-        shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        partitions = max(spark.sparkContext.defaultParallelism, shuffles)
-    matrix = feature_matrix(df, features, keep=(label,)).repartition(partitions)
+    matrix = feature_matrix(df, features, keep=(label,))
+    if spread:
+        matrix = spread_rows(matrix)
     classifier = MultilayerPerceptronClassifier(
         layers=[len(features), *hidden, 2],
         featuresCol="features",
@@ -64,6 +61,13 @@ def train_mlp(
     return classifier.fit(matrix)
 
 
+def spread_rows(df: DataFrame) -> DataFrame:
+    """Even partitions, one per core, or per shuffle partition if those are more."""
+    spark = df.sparkSession
+    shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(spark.sparkContext.defaultParallelism, shuffles))
+
+
 @dataclass(frozen=True)
 class TrainingHistory:
     """The best model and the validation AUC after each round."""
@@ -86,15 +90,17 @@ def train_early_stopping(
 ) -> TrainingHistory:
     """Train in short rounds, each from the last weights, until the AUC stops rising.
 
-    Inputs are staged once: every round reads them again.
+    Inputs are spread and staged once: every round reads them again.
     """
-    train = stage(train.select(label, *features), "train")
+    train = stage(spread_rows(train.select(label, *features)), "train")
     validation = stage(validation.select(label, *features), "validation")
     best, best_auc, best_round = None, float("-inf"), 0
     history: list[float | None] = []
     weights = None
     for number in range(1, max_rounds + 1):
-        model = train_mlp(train, features, label, hidden, steps_per_round, seed, weights)
+        model = train_mlp(
+            train, features, label, hidden, steps_per_round, seed, weights, spread=False
+        )
         weights = model.weights
         scored = with_probability(model, validation, features, keep=(label,))
         auc = roc_auc_binned(scored, label, "fraud_probability").first()["auc"]
