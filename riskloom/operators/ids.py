@@ -17,10 +17,7 @@ MAX_ID_LENGTH = 10
 def assign_customer_ids(
     df: DataFrame, order_by: Sequence[str | Column], start: int = 1
 ) -> DataFrame:
-    """Number rows without an id in ``order_by``; given ids stay and use no number.
-
-    ``order_by`` must order the rows fully, as rows arrive one after another.
-    """
+    """Number rows without an id in ``order_by``; given ids stay and use no number."""
     given = df.where(F.col("customer_id").isNotNull())
     missing = row_numbers(df.where(F.col("customer_id").isNull()), order_by, "_number")
     filled = missing.withColumn(

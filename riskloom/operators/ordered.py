@@ -46,8 +46,12 @@ def row_numbers(
     name: str = "row_number",
     total: str | None = None,
 ) -> DataFrame:
-    """Add gap-free numbers from 1 in ``order_by``, and the row count as ``total``."""
-    placed = in_global_order(df, order_by)
+    """Add gap-free numbers from 1 in ``order_by``, and the row count as ``total``.
+
+    Rows that tie are ordered by a hash of the whole row, so the numbers do not
+    depend on the layout, and a tie of most rows still spreads over partitions.
+    """
+    placed = in_global_order(df.withColumn("_tie", F.xxhash64(*df.columns)), [*order_by, "_tie"])
     counts = placed.groupBy("_part").agg(F.count("*").alias("_rows"))
     offsets = counts.select(
         "_part",

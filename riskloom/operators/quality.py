@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import pi, sqrt
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -145,24 +147,24 @@ def schema_info(df: DataFrame) -> DataFrame:
 def histogram(df: DataFrame, column: str, bins: int = BINS) -> DataFrame:
     """Equal-width bins from minimum to maximum, the last one closed, empty ones included."""
     value = F.col(column).cast("double")
-    span = df.agg(
-        F.struct(F.min(value).alias("low"), F.max(value).alias("high")).alias("span")
-    ).scalar()
-    low, high = span["low"], span["high"]
-    # A column with one value gets a span of width 1 around it.
-    flat = low == high
-    low, high = F.when(flat, low - 0.5).otherwise(low), F.when(flat, high + 0.5).otherwise(high)
+    low, high = df.agg(F.min(value), F.max(value)).first()
+    if low is None:
+        low, high = 0.0, 1.0
+    if low == high:
+        # A column with one value gets a span of width 1 around it.
+        low, high = low - 0.5, high + 0.5
+    place = F.width_bucket(value, F.lit(low), F.lit(high), F.lit(bins))
     counted = (
         df.where(value.isNotNull())
-        .groupBy(F.least(F.width_bucket(value, low, high, F.lit(bins)), F.lit(bins)).alias("bin"))
+        .groupBy(F.least(place, F.lit(bins)).alias("bin"))
         .agg(F.count("*").alias("rows"))
     )
     edges = df.sparkSession.range(1, bins + 1).select(F.col("id").alias("bin"))
     step = (high - low) / bins
     return edges.join(counted, "bin", "left").select(
         "bin",
-        (low + (F.col("bin") - 1) * step).alias("low"),
-        (low + F.col("bin") * step).alias("high"),
+        (F.lit(low) + (F.col("bin") - 1) * step).alias("low"),
+        (F.lit(low) + F.col("bin") * step).alias("high"),
         F.coalesce("rows", F.lit(0)).alias("rows"),
     )
 
@@ -171,52 +173,47 @@ def kde(df: DataFrame, column: str, points: int = GRID) -> DataFrame:
     """Gaussian density on an even grid from minimum to maximum, Scott's bandwidth.
 
     Equal values are counted first; the grid has a fixed size, so each distinct
-    value adds ``points`` terms to sums that combine within each task.
+    value adds ``points`` terms to sums that combine within each task. NULL
+    densities for a column without spread.
     """
     value = F.col(column).cast("double")
-    stats = df.agg(
-        F.struct(
-            F.min(value).alias("low"),
-            F.max(value).alias("high"),
-            F.count(value).cast("double").alias("n"),
-            (F.stddev_samp(value) * F.pow(F.count(value).cast("double"), F.lit(-0.2))).alias("h"),
-        ).alias("stats")
-    ).scalar()
+    low, high, n, std = df.agg(
+        F.min(value), F.max(value), F.count(value), F.stddev_samp(value)
+    ).first()
+    if not std:
+        low, high = low or 0.0, high or 0.0
+    width = std * n**-0.2 if std else None
     counted = df.where(value.isNotNull()).groupBy(value.alias("v")).agg(F.count("*").alias("n"))
-    at = stats["low"] + F.col("point") * (stats["high"] - stats["low"]) / (points - 1)
-    distance = (at - F.col("v")) / stats["h"]
+    at = F.lit(low) + F.col("point") * (high - low) / (points - 1)
+    distance = (at - F.col("v")) / F.lit(width).cast("double")
     sums = (
         counted.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
         .groupBy("point")
         .agg(F.sum(F.col("n") * F.exp(distance * distance * -0.5)).alias("mass"))
     )
-    scale = stats["n"] * stats["h"] * F.sqrt(F.lit(2.0) * F.pi())
+    scale = n * width * sqrt(2 * pi) if width else None
     return sums.select(
-        "point", at.alias("x"), F.try_divide(F.col("mass"), scale).alias("density")
+        "point",
+        at.alias("x"),
+        (F.col("mass") / F.lit(scale).cast("double")).alias("density"),
     )
 
 
 def boxplot_stats(df: DataFrame, column: str) -> DataFrame:
     """Quartiles, whiskers and the number of outliers, as one row."""
-    low_q, mid, high_q = QUARTILES
-    found = exact_quantiles(df, column, QUARTILES)
-    box = found.agg(
-        F.struct(
-            *(
-                F.max(F.when(F.col("prob") == q, F.col("quantile"))).alias(name)
-                for name, q in (("q1", low_q), ("median", mid), ("q3", high_q))
-            )
-        ).alias("box")
-    ).scalar()
+    # Three rows.
+    found = {r["prob"]: r["quantile"] for r in exact_quantiles(df, column, QUARTILES).collect()}
+    q1, median, q3 = (
+        F.lit(None if q not in found else float(found[q])).cast("double") for q in QUARTILES
+    )
     value = F.col(column).cast("double")
-    reach = (box["q3"] - box["q1"]) * WHISKER
-    low, high = box["q1"] - reach, box["q3"] + reach
-    # The subquery stays below the aggregate, where it is evaluated once.
-    marked = df.select(value.alias("v"), low.alias("lo"), high.alias("hi"), box.alias("box"))
-    v = F.col("v")
-    return marked.agg(
-        F.max("box").alias("box"),
-        F.min(F.when(v >= F.col("lo"), v)).alias("whisker_low"),
-        F.max(F.when(v <= F.col("hi"), v)).alias("whisker_high"),
-        F.count_if((v < F.col("lo")) | (v > F.col("hi"))).alias("outliers"),
-    ).select("box.*", "whisker_low", "whisker_high", "outliers")
+    reach = (q3 - q1) * WHISKER
+    low, high = q1 - reach, q3 + reach
+    return df.agg(
+        q1.alias("q1"),
+        median.alias("median"),
+        q3.alias("q3"),
+        F.min(F.when(value >= low, value)).alias("whisker_low"),
+        F.max(F.when(value <= high, value)).alias("whisker_high"),
+        F.count_if((value < low) | (value > high)).alias("outliers"),
+    )

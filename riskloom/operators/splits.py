@@ -113,9 +113,9 @@ def minmax_scale(
 ) -> DataFrame:
     """Rescale a column to [low, high]; a constant column becomes ``low``."""
     value = F.col(column).cast("double")
-    span = df.agg(
-        F.struct(F.min(value).alias("low"), F.max(value).alias("high")).alias("span")
-    ).scalar()
-    width = span["high"] - span["low"]
-    share = (value - span["low"]) / F.when(width == 0, 1.0).otherwise(width)
-    return df.withColumn(output or column, share * (high - low) + low)
+    least, most = df.agg(F.min(value), F.max(value)).first()
+    if least is None:
+        return df.withColumn(output or column, F.lit(None).cast("double"))
+    width = most - least or 1.0
+    scaled = (value - F.lit(least)) / F.lit(width) * (high - low) + F.lit(low)
+    return df.withColumn(output or column, scaled)

@@ -19,6 +19,18 @@ def test_ids_widen_and_leave_no_gap(spark, partitions):
     assert len(set(got)) == 1001
 
 
+def test_numbers_of_tied_rows(spark):
+    """A third of the rows share their order key."""
+    rows = spark.range(9000).select("id", F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id")).alias("k"))
+
+    def numbers(partitions):
+        df = ordered.row_numbers(rows.repartition(partitions), ["k"], "n", "total")
+        return {r["id"]: r["n"] for r in df.collect()}
+
+    one = numbers(1)
+    assert sorted(one.values()) == list(range(1, 9001)) and numbers(12) == one
+
+
 def test_given_ids_use_no_number(make):
     rows = make([(1, None), (2, "X"), (3, None)], "id int, customer_id string")
     got = {r["id"]: r["customer_id"] for r in ids.assign_customer_ids(rows, ["id"], start=7).collect()}
@@ -164,3 +176,19 @@ def test_kde_integrates_to_nearly_one(spark):
     rows = quality.kde(df, "v").orderBy("point").collect()
     step = rows[1]["x"] - rows[0]["x"]
     assert 0.85 < sum(r["density"] for r in rows) * step < 1.0
+
+
+def test_profiles_of_no_rows(make):
+    empty = make([], "v double")
+    assert quality.histogram(empty, "v", 3).count() == 3
+    assert quality.kde(empty, "v").count() == 0
+    assert quality.boxplot_stats(empty, "v").first()["outliers"] == 0
+    assert splits.minmax_scale(empty, "v").count() == 0
+    assert quality.kde(make([(2.0,), (2.0,)], "v double"), "v").where("density IS NOT NULL").count() == 0
+
+
+def test_boxplot(make):
+    rows = make([(float(v),) for v in [1, 2, 3, 4, 5, 6, 7, 8, 100]] + [(None,)], "v double")
+    box = quality.boxplot_stats(rows, "v").first()
+    assert (box["q1"], box["median"], box["q3"]) == (3.0, 5.0, 7.0)
+    assert (box["whisker_low"], box["whisker_high"], box["outliers"]) == (1.0, 8.0, 1)
