@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path, stage
-from . import bpe, chat, exact, records, token_counts
+from . import bpe, chat, exact, minhash, records, token_counts
 from .common import table
 
 # A conversation that holds a template's control strings.
 TRICKY_TEXT = "\\### Assistant: </turn> ok"
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.createDataFrame(
         [(-7, 0, "user", TRICKY_TEXT), (-7, 1, "assistant", TRICKY_TEXT)],
@@ -44,6 +48,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_near_dedup": op1_near_dedup,
     "op2_chat_formatting": op2_chat_formatting,
     "op3_bpe": op3_bpe,
     "op4_exact_dedup": op4_exact_dedup,
@@ -82,7 +87,36 @@ WITH named AS (
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM ranked
 """
 
+_NEAR_SQL = r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws
+  FROM documents
+), shingled AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS s
+  FROM worded
+), sized AS (
+  SELECT doc_id, len(s) AS n_shingles, s FROM shingled
+), singles AS (
+  SELECT doc_id, n_shingles, unnest(s) AS sh FROM sized
+), links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y
+  FROM singles a JOIN singles b ON a.sh = b.sh AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n_shingles, b.n_shingles
+  HAVING 100 * count(*) >= 85 * (a.n_shingles + b.n_shingles - count(*))
+), reached AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION
+  SELECT r.doc_id, l.y FROM reached r JOIN links l ON r.other = l.x
+), named AS (
+  SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id
+)
+SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM sized JOIN named USING (doc_id)
+"""
+
 ORACLE: dict[str, str] = {
+    "op1_near_dedup": _NEAR_SQL,
     "op2_chat_formatting": _CHAT_SQL,
     "op4_exact_dedup": _EXACT_SQL,
 }
