@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import scratch_path, stage
-from . import bpe, chat, exact, minhash, records, token_counts
+from . import bpe, chat, decontam, exact, minhash, records, secret_scan, token_counts
 from .common import table
 
 # A conversation that holds a template's control strings.
@@ -41,6 +42,18 @@ def op6_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.record_digests(index)
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.find_secrets(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans"
+    )
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumn("score", F.round("score", 6))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "flat-tokens")
     token_counts.write_flat_tokens(table(spark, sf_dir, "documents"), path)
@@ -53,6 +66,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bpe": op3_bpe,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_token_records": op6_token_records,
+    "op7_secrets": op7_secrets,
+    "op9_decontamination": op9_decontamination,
     "op10_token_counts": op10_token_counts,
 }
 
@@ -115,7 +130,61 @@ WITH RECURSIVE worded AS (
 SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM sized JOIN named USING (doc_id)
 """
 
+_BENCHMARK_SQL = r"""
+WITH items AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS ws
+  FROM benchmark
+), segments AS (
+  SELECT item_id, start // 64 AS part, ws[start + 1:start + 64] AS ws
+  FROM (SELECT item_id, ws, unnest(range(0, len(ws), 64)) AS start FROM items)
+), sizes AS (
+  SELECT count(*) AS n, avg(len(ws)) AS mean FROM segments
+), terms AS (
+  SELECT item_id, part, len(ws) AS size, unnest(ws) AS word FROM segments
+), tf AS (
+  SELECT item_id, part, size, word, count(*) AS tf FROM terms GROUP BY ALL
+), idf AS (
+  SELECT word, ln(1 + (n - count(*) + 0.5) / (count(*) + 0.5)) AS w FROM tf, sizes GROUP BY word, n
+), raw AS (
+  SELECT item_id, part, word, w * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * size / mean)) AS score FROM tf JOIN idf USING (word), sizes
+), own AS (
+  SELECT item_id, part, word, score / sum(score) OVER (PARTITION BY item_id, part) AS score FROM raw
+), docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS ws
+  FROM documents
+), placed AS (
+  SELECT doc_id, greatest(1, (len(ws) + 63) // 64 - 1) AS many, unnest(ws) AS word, (unnest(range(0, len(ws)))) // 64 AS step FROM docs
+), passages AS (
+  SELECT doc_id, step AS passage, word FROM placed WHERE step < many
+  UNION
+  SELECT doc_id, step - 1, word FROM placed WHERE step >= 1
+), scored AS (
+  SELECT doc_id, passage, item_id, part, sum(score) AS score
+  FROM passages JOIN own USING (word) GROUP BY ALL HAVING sum(score) >= 0.5 - 1e-9
+), best AS (
+  SELECT doc_id, item_id, max(score) AS score FROM scored GROUP BY ALL
+), item_grams AS (
+  SELECT item_id, least(5, len(ws)) AS size, list_transform(range(1, len(ws) - least(5, len(ws)) + 2), lambda i: array_to_string(ws[i:i + least(5, len(ws)) - 1], ' ')) AS runs
+  FROM items
+), parts AS (
+  SELECT item_id, size, greatest(1, len(runs) // 4) AS last, runs FROM item_grams
+), asked AS (
+  SELECT b.doc_id, b.item_id, b.score,
+    CASE WHEN len(runs) > last THEN runs[1:len(runs) - last] ELSE runs END AS question,
+    runs[len(runs) - last + 1:len(runs)] AS answer,
+    list_transform(range(1, len(ws) - size + 2), lambda i: array_to_string(ws[i:i + size - 1], ' ')) AS held
+  FROM best b JOIN parts USING (item_id) JOIN docs d ON d.doc_id = b.doc_id
+), verified AS (
+  SELECT doc_id, item_id, round(score, 6) AS score,
+    len(list_filter(question, lambda g: list_contains(held, g))) / len(question) AS question_overlap,
+    len(list_filter(answer, lambda g: list_contains(held, g))) / len(answer) AS answer_overlap
+  FROM asked
+)
+SELECT * FROM verified WHERE question_overlap >= 0.5 AND answer_overlap >= 0.5
+"""
+
 ORACLE: dict[str, str] = {
+    "op9_decontamination": _BENCHMARK_SQL,
     "op1_near_dedup": _NEAR_SQL,
     "op2_chat_formatting": _CHAT_SQL,
     "op4_exact_dedup": _EXACT_SQL,
