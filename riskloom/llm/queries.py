@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path, stage
-from . import bpe, chat, decontam, exact, minhash, records, secret_scan, token_counts
+from . import bpe, chat, decontam, exact, minhash, records, secret_scan, token_counts, toxicity
 from .common import table
 
 # A conversation that holds a template's control strings.
@@ -36,6 +36,11 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return toxicity.score_documents(documents, toxicity.fit(documents, table(spark, sf_dir, "labels")))
+
+
 def op6_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "records")
     index = records.write_records(table(spark, sf_dir, "documents"), path)
@@ -65,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chat_formatting": op2_chat_formatting,
     "op3_bpe": op3_bpe,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_toxicity": op5_toxicity,
     "op6_token_records": op6_token_records,
     "op7_secrets": op7_secrets,
     "op9_decontamination": op9_decontamination,
