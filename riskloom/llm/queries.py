@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path, stage
-from . import bpe, chat, decontam, exact, minhash, records, secret_scan, token_counts, toxicity
+from . import bpe, chat, decontam, exact, minhash, pii, records, secret_scan, token_counts, toxicity
 from .common import table
 
 # A conversation that holds a template's control strings.
@@ -54,6 +54,14 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    found = pii.find_personal_data(documents, pii.train(documents))
+    return found.select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans"
+    )
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.withColumn("score", F.round("score", 6))
@@ -73,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_toxicity": op5_toxicity,
     "op6_token_records": op6_token_records,
     "op7_secrets": op7_secrets,
+    "op8_pii": op8_pii,
     "op9_decontamination": op9_decontamination,
     "op10_token_counts": op10_token_counts,
 }
