@@ -1,16 +1,18 @@
 """Global order without a one-task sort: row numbers, ranks, exact quantiles.
 
-Rows are range-partitioned and staged. Each partition then needs one number
-from the others, the weight before it, and there are only as many such numbers
-as partitions.
+For numbers, rows are range-partitioned and staged; each partition then needs one
+number from the others, the weight before it. Quantiles need no order of all rows:
+a sketch brackets each wanted rank, and only what lies inside is looked at.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from ..session import stage
 
@@ -25,7 +27,7 @@ def in_global_order(df: DataFrame, order_by: Sequence[str | Column]) -> DataFram
     """Stage ``df`` in order, with ``_part`` rising by range and ``_pos`` from 0 within it.
 
     ``order_by`` must order the rows fully: rows that tie cannot be split over
-    partitions. Callers group equal rows first or add a unique key.
+    partitions. Callers group equal rows first or add a key.
     """
     placed = stage(
         df.repartitionByRange(*order_by)
@@ -49,9 +51,11 @@ def row_numbers(
     """Add gap-free numbers from 1 in ``order_by``, and the row count as ``total``.
 
     Rows that tie are ordered by a hash of the whole row, so the numbers do not
-    depend on the layout, and a tie of most rows still spreads over partitions.
+    depend on the layout. Identical rows are interchangeable; they go by where
+    they are read, so most rows may be the same and still spread over partitions.
     """
-    placed = in_global_order(df.withColumn("_tie", F.xxhash64(*df.columns)), [*order_by, "_tie"])
+    tied = df.withColumn("_tie", F.xxhash64(*df.columns)).withColumn("_at", F.monotonically_increasing_id())
+    placed = in_global_order(tied, [*order_by, "_tie", "_at"])
     counts = placed.groupBy("_part").agg(F.count("*").alias("_rows"))
     offsets = counts.select(
         "_part",
@@ -68,58 +72,113 @@ def row_numbers(
     return numbered.select(*columns)
 
 
+# Accuracy of the sketch, and how far around a wanted rank its bracket reaches, as
+# a share of the rows. Bins that a bracket's values fall into.
+_ACCURACY = 10_000
+_SLACK = 2.0 / _ACCURACY
+_BINS = 4096
+
+
+def _same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
+    """All of ``names`` equal, NULL with NULL."""
+    return reduce(Column.__and__, (left[n].eqNullSafe(right[n]) for n in names), F.lit(True))
+
+
+def _bracketed(rows: DataFrame, groups: list[str], probs: Sequence[float], slack: float) -> DataFrame:
+    """Rows counted by value inside the brackets and by region outside: (groups, _region, _value, _n).
+
+    A region is the number of brackets that end below; what lies outside in it
+    comes before what lies inside, and has no value.
+    """
+    low = [max(0.0, p - slack) for p in probs]
+    high = [min(1.0, p + slack) for p in probs]
+    sketch = lambda at: F.percentile_approx("_value", [float(p) for p in at], _ACCURACY)
+    edges = rows.groupBy(*groups).agg(sketch(low).alias("_low"), sketch(high).alias("_high"))
+    if groups:
+        edges = stage(edges, "brackets")
+        right = edges.select(*(F.col(g).alias(f"{g}_") for g in groups), "_low", "_high")
+        match = reduce(Column.__and__, (rows[g].eqNullSafe(right[f"{g}_"]) for g in groups))
+        placed = rows.join(right, match)
+    else:
+        one = edges.first()
+        kind = rows.schema["_value"].dataType
+        arrays = {name: F.lit(one[name] or []).cast(ArrayType(kind)) for name in ("_low", "_high")}
+        placed = rows.withColumns(arrays)
+    value = F.col("_value")
+    ends = [F.get("_high", F.lit(n)) for n in range(len(probs))]
+    starts = [F.get("_low", F.lit(n)) for n in range(len(probs))]
+    region = reduce(Column.__add__, (F.when(end < value, 1).otherwise(0) for end in ends))
+    inside = reduce(Column.__or__, ((a <= value) & (value <= b) for a, b in zip(starts, ends)))
+    return placed.groupBy(*groups, region.alias("_region"), F.when(inside, value).alias("_value")).agg(
+        F.count("*").alias("_n")
+    )
+
+
 def exact_quantiles(
     df: DataFrame,
     value: str,
     probs: Sequence[float],
     by: Sequence[str] = (),
     interpolate: bool = True,
+    slack: float = _SLACK,
 ) -> DataFrame:
-    """Exact quantiles of ``value`` per group, NULLs left out: (by…, prob, quantile).
+    """Exact quantiles of ``value`` per group, NULL values left out: (by…, prob, quantile).
 
     ``interpolate`` blends the two neighbours linearly; without it the result
     is the smallest value with at least ``prob`` of the rows at or below it.
+    NULL is a group of its own.
 
-    For few groups. Equal values are counted before they travel, so a value
-    held by most rows costs one row per map task. The sorted values stay spread
-    over all partitions; only those that hold a wanted rank are summed up.
+    A first pass brackets every wanted rank by a sketch, a second counts the
+    rows around the brackets and the values inside, both combined in the map
+    tasks. Only the counted values, a few thousandths of the rows, are stored; bins
+    over them lead to the values at the wanted ranks. A rank outside its
+    bracket is looked for again with a wider one, so the result is exact.
     """
-    by = list(by)
-    counted = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*by, F.col(value).alias("_value"))
-        .agg(F.count("*").alias("_n"))
+    by, probs = list(by), sorted({float(p) for p in probs})
+    groups = [f"_g{n}" for n in range(len(by))]
+    rows = df.where(F.col(value).isNotNull()).select(
+        *(F.col(c).alias(g) for c, g in zip(by, groups)), F.col(value).alias("_value")
+    )
+    bins = [*groups, "_region", "_bin"]
+    while True:
+        counted = stage(_bracketed(rows, groups, probs, slack), "bracketed")
+        spans = counted.groupBy(*groups, "_region").agg(F.min("_value").alias("_from"), F.max("_value").alias("_to"))
+        spans = spans.select(*(F.col(c).alias(f"{c}_") for c in [*groups, "_region"]), "_from", "_to")
+        match = reduce(Column.__and__, (counted[c].eqNullSafe(spans[f"{c}_"]) for c in [*groups, "_region"]))
+        share = (F.col("_value") - F.col("_from")) / (F.col("_to") - F.col("_from")).cast("double")
+        bin_of = F.when(F.col("_value").isNull(), -1).when(F.col("_from") == F.col("_to"), 0)
+        bin_of = bin_of.otherwise(F.floor(share * _BINS)).cast("int")
+        placed = stage(counted.join(spans, match).select(*groups, "_region", bin_of.alias("_bin"), "_value", "_n"), "binned")
+        wanted = stage(_wanted(placed.groupBy(*bins).agg(F.sum("_n").alias("_rows")), groups, probs, interpolate), "wanted")
+        if slack >= 1 or not wanted.where("_bin < 0").limit(1).count():
+            break
+        slack = min(1.0, slack * 16)
+    upto = Window.partitionBy(*bins).orderBy("_value").rowsBetween(*_BEFORE)
+    near = placed.join(wanted, _same(placed, wanted, bins), "left_semi")
+    near = near.withColumn("_below", F.coalesce(F.sum("_n").over(upto), F.lit(0)))
+    ranks = wanted.select(*(F.col(c).alias(f"{c}_") for c in bins), "prob", "_weight", "_local")
+    match = reduce(Column.__and__, (near[c].eqNullSafe(ranks[f"{c}_"]) for c in bins))
+    found = near.join(ranks, match).where(
+        (F.col("_local") >= F.col("_below")) & (F.col("_local") < F.col("_below") + F.col("_n"))
     )
-    placed = in_global_order(counted, [*by, "_value"])
-    parts = placed.groupBy(*by, "_part").agg(F.sum("_n").alias("_rows"))
-    earlier = Window.partitionBy(*by).orderBy("_part").rowsBetween(*_BEFORE)
-    whole = Window.partitionBy(*by)
+    low, high = F.min("_value"), F.max("_value")
+    picked = low + F.max("_weight") * (high - low) if interpolate else low
+    named = found.groupBy(*groups, "prob").agg(picked.alias("quantile"))
+    return named.select(*(F.col(g).alias(c) for c, g in zip(by, groups)), "prob", "quantile")
+
+
+def _wanted(sums: DataFrame, groups: list[str], probs: Sequence[float], interpolate: bool) -> DataFrame:
+    """The bins that hold a wanted rank, and which row of the bin it is."""
     position = F.col("prob") * (F.col("_total") - 1)
     ceiling = F.greatest(F.ceil(F.col("prob") * F.col("_total")) - 1, F.lit(0))
     ranks = F.array_distinct(F.array(F.floor(position), F.ceil(position)))
-    wanted = (
-        parts.select(
-            *by,
-            "_part",
-            "_rows",
-            F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"),
-            F.sum("_rows").over(whole).alias("_total"),
-        )
-        .withColumn("prob", F.explode(F.array(*(F.lit(float(p)) for p in probs))))
+    earlier = Window.partitionBy(*groups).orderBy("_region", "_bin").rowsBetween(*_BEFORE)
+    return (
+        sums.withColumn("_start", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
+        .withColumn("_total", F.sum("_rows").over(Window.partitionBy(*groups)))
+        .withColumn("prob", F.explode(F.array(*(F.lit(p) for p in probs))))
         .withColumn("_weight", position - F.floor(position) if interpolate else F.lit(0.0))
         .withColumn("_rank", F.explode(ranks) if interpolate else ceiling)
         .where((F.col("_rank") >= F.col("_start")) & (F.col("_rank") < F.col("_start") + F.col("_rows")))
-        .select(*by, "_part", "prob", "_weight", (F.col("_rank") - F.col("_start")).alias("_local"))
-    )
-    # At most two rows per group and probability.
-    near = placed.join(
-        F.broadcast(wanted.select(*by, "_part").distinct()), [*by, "_part"], "left_semi"
+        .select(*groups, "_region", "_bin", "prob", "_weight", (F.col("_rank") - F.col("_start")).alias("_local"))
     )
-    upto = Window.partitionBy(*by, "_part").orderBy("_value").rowsBetween(*_BEFORE)
-    near = near.withColumn("_below", F.coalesce(F.sum("_n").over(upto), F.lit(0)))
-    found = near.join(F.broadcast(wanted), [*by, "_part"]).where(
-        (F.col("_local") >= F.col("_below")) & (F.col("_local") < F.col("_below") + F.col("_n"))
-    )
-    low, high = F.min("_value"), F.max("_value")
-    picked = low + F.max("_weight") * (high - low) if interpolate else low
-    return found.groupBy(*by, "prob").agg(picked.alias("quantile"))

@@ -38,13 +38,14 @@ def stratified_split(
 ) -> DataFrame:
     """As ``train_test_split``, with the share met within each label.
 
-    Each label has its own cut on the key hash, found exactly. Labels are few.
+    Each label, NULL included, has its own cut on the key hash, found exactly.
     """
     hashed = df.withColumn("_hash", key_hash(key, seed))
     cuts = exact_quantiles(hashed.select(label, "_hash"), "_hash", [test], [label], interpolate=False)
-    cut = cuts.agg(F.map_from_entries(F.collect_list(F.struct(label, "quantile")))).scalar()
-    drawn = F.col("_hash") <= F.try_element_at(cut, F.col(label))
-    return hashed.withColumn("split", F.when(drawn, "test").otherwise("train")).drop("_hash")
+    cuts = cuts.select(F.col(label).alias("_label"), F.col("quantile").alias("_cut"))
+    joined = hashed.join(cuts, hashed[label].eqNullSafe(cuts["_label"]), "left")
+    drawn = F.when(F.col("_hash") <= F.col("_cut"), "test").otherwise("train")
+    return joined.select(*df.columns, drawn.alias("split"))
 
 
 def validation_holdout(
