@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from riskloom.functions.prompts import PROMPT
+from riskloom.schema import FEATURES
 
-from .queries import LOAD_TS, RUN_TS
+from .fixtures import fixed_layers, fixed_weight
+from .queries import GOOD_TIMES, LOAD_TS, RUN_TS, STRANGE_TIMES
 
 # Inputs
 
@@ -352,6 +354,64 @@ ROW_COUNTS = {
     "feature.training_fraud_dataset": "SELECT COUNT(*) FROM day_join",
 }
 
+
+
+def scaled(name: str, source: str, columns: list[str]) -> list[str]:
+    """CTEs: every row of ``source`` with x1, x2, … standardised over all its rows."""
+    moments = ", ".join(
+        f"AVG(CAST({c} AS DOUBLE)) AS m{n}, stddev_pop(CAST({c} AS DOUBLE)) AS s{n}" for n, c in enumerate(columns, 1)
+    )
+    values = ", ".join(
+        f"COALESCE((CAST({c} AS DOUBLE) - m{n}) / CASE WHEN s{n} > abs(m{n}) * 1e-13 THEN s{n} ELSE 1 END, 0) AS x{n}"
+        for n, c in enumerate(columns, 1)
+    )
+    return [
+        f"{name}_m AS (SELECT {moments} FROM {source})",
+        f"{name} AS (SELECT {source}.*, {values} FROM {source} CROSS JOIN {name}_m)",
+    ]
+
+
+def forward(name: str, source: str, inputs: int) -> list[str]:
+    """CTEs: every row of ``source`` with its probability ``p`` from the fixed network."""
+    parts, before, prefix = [], source, "x"
+    layers = fixed_layers(inputs)
+    for depth, (a, b, first) in enumerate(layers, 1):
+        sums = [
+            " + ".join(
+                [f"({fixed_weight(first + o + i * b)}) * {prefix}{i + 1}" for i in range(a)]
+                + [f"({fixed_weight(first + a * b + o)})"]
+            )
+            for o in range(b)
+        ]
+        last = depth == len(layers)
+        shown = [f"{s} AS z{o + 1}" if last else f"1 / (1 + exp(-({s}))) AS h{depth}_{o + 1}" for o, s in enumerate(sums)]
+        parts.append(f"{name}_{depth} AS (SELECT *, {', '.join(shown)} FROM {before})")
+        before, prefix = f"{name}_{depth}", f"h{depth}_"
+    return [*parts, f"{name} AS (SELECT *, 1 / (1 + exp(z1 - z2)) AS p FROM {before})"]
+
+
+DAYS_WITH_DAY = 'days AS (SELECT *, EXTRACT(DAY FROM event_date) AS "Day" FROM lab_cd)'
+QUOTED_FEATURES = [f'"{c}"' for c in FEATURES]
+NETWORK = [*LABELLED_CD, DAYS_WITH_DAY, *scaled("sc", "days", QUOTED_FEATURES), *forward("net", "sc", len(FEATURES))]
+TX_FEATURES = "txf AS (SELECT *, CASE WHEN event_type = 'fail_tx' THEN 1 ELSE 0 END AS failed_tx FROM tx_d)"
+TX_NETWORK = [
+    TX_DAILY,
+    TX_FEATURES,
+    *scaled("sc", "txf", ["transaction_amount", "account_balance", "failed_tx"]),
+    *forward("net", "sc", 3),
+]
+
+
+def drawn(key: str) -> str:
+    """Whether a row goes to the test part."""
+    return f"{key_hash(key)} / 4294967296.0 < 0.2"
+
+
+SPLIT_DAYS = f"""keyed AS (SELECT *, {key_hash("user_id || '|' || event_date || '|42'")} AS h FROM lab_cd),
+cuts AS (SELECT fraud_label AS label, quantile_disc(h, 0.2) AS cut FROM keyed GROUP BY 1),
+parts AS (SELECT keyed.*, h <= cut AS test FROM keyed JOIN cuts ON fraud_label IS NOT DISTINCT FROM label)"""
+TEST_ROWS = "(SELECT COUNT(*) FROM parts WHERE test)"
+
 ORACLE: dict[str, str] = {
     # Sources and sinks
     "src_csv_header": FULL_TX_D,
@@ -360,6 +420,10 @@ ORACLE: dict[str, str] = {
     + f"""SELECT CAST(NULL AS VARCHAR) AS customer_id, {r('transaction_amount')} AS transaction_amount,
   {r('account_balance')} AS account_balance, CAST(NULL AS VARCHAR) AS event_type,
   TIMESTAMP '{LOAD_TS}' AS created_at FROM tx_d""",
+    "load_finance_own_times": with_(TX_DAILY)
+    + f"""SELECT CAST(NULL AS VARCHAR) AS customer_id, {r('transaction_amount')} AS transaction_amount,
+  {r('account_balance')} AS account_balance, CAST(NULL AS VARCHAR) AS event_type,
+  CASE WHEN event_type = 'purchase' THEN created_at ELSE TIMESTAMP '{LOAD_TS}' END AS created_at FROM tx_d""",
     "load_marketing": with_(MKT_DAILY)
     + f"""SELECT {ID_TEXT.format(n='n')} AS customer_id, clicks, impressions, conversion,
   TIMESTAMP '{LOAD_TS}' AS created_at
@@ -637,7 +701,54 @@ UNION ALL SELECT 'no_such_key', 'error', 'Invalid query_key', NULL, NULL""",
     + "SELECT user_id, event_date, md5(prompt) AS prompt_md5, CAST(length(prompt) AS INTEGER) AS prompt_length FROM texts",
     "model_store": with_(TX_DAILY, MKT_DAILY, CUSTOMER_DAY, FIN_DAY, DAY_JOIN)
     + "SELECT COUNT(*) AS rows, CAST(0 AS BIGINT) AS changed FROM day_join",
+    "train_mlp": with_(*LABELLED_CD)
+    + """SELECT user_id, event_date, true AS is_probability, true AS decision_agrees, true AS learned
+  FROM lab_cd""",
+    "early_stopping": "SELECT true AS best_is_first_maximum, true AS stopped_in_time, true AS learned",
+    "training_run": with_(*LABELLED_CD, SPLIT_DAYS)
+    + f"""SELECT true AS best_is_first_maximum, true AS stopped_in_time, true AS learned,
+  {TEST_ROWS} AS test_rows, true AS holds_on_test_rows""",
+    "score_model": with_(*NETWORK)
+    + f"""SELECT user_id, event_date, fraud_label, {r('p')} AS fraud_probability,
+  CASE WHEN p >= 0.5 THEN 1 ELSE 0 END AS fraud_prediction FROM net""",
+    "scoring_run": with_(*NETWORK, "low AS (SELECT MIN(fraud_score) AS lo, MAX(fraud_score) AS hi FROM lab_cd)")
+    + f"""SELECT user_id, event_date, {r('p')} AS fraud_probability,
+  CASE WHEN p >= 0.5 THEN 1 ELSE 0 END AS fraud_prediction,
+  {r('(fraud_score - lo) / (hi - lo) * 0.74 + 0.25')} AS scaled_score FROM net, low""",
+    "transaction_inference": with_(*TX_NETWORK)
+    + f"""SELECT tx_id AS transaction_id, {r('p')} AS fraud_probability,
+  CASE WHEN p >= 0.5 THEN 1 ELSE 0 END AS fraud_label FROM net""",
+    "marketing_model": with_(
+        MKT_DAILY,
+        CUSTOMER_DAY,
+        f"""keyed AS (SELECT *, {drawn("customer_id || '|' || event_date || '|42'")} AS test FROM cust_day)""",
+        "sizes AS (SELECT COUNT(*) FILTER (test) AS t, COUNT(*) FILTER (NOT test) AS n FROM keyed)",
+    )
+    + """SELECT 'test' AS part, t AS "rows", true AS learned FROM sizes
+UNION ALL SELECT 'validation', n - CAST(floor(n * 0.8) AS BIGINT), true FROM sizes""",
+    "anomaly_isolation": with_(TX_DAILY)
+    + """SELECT tx_id, true AS in_range, true AS flag_agrees, CAST(NULL AS BOOLEAN) AS planted_flagged FROM tx_d
+UNION ALL SELECT -n, true, true, true FROM range(1, 4) t(n)""",
     # Streaming
+    "parse_events_strange_times": f"""SELECT CAST(c_custkey AS VARCHAR) AS customer_id, x."end" AS "end", x.seconds AS seconds
+FROM customer CROSS JOIN (
+  SELECT 'good' AS "end", CAST(unnest([{', '.join(GOOD_TIMES)}]) AS DOUBLE) AS seconds
+  UNION ALL SELECT 'reject', CAST(NULL AS DOUBLE) FROM range({len(STRANGE_TIMES)})) x""",
+    "ingest_run": with_(
+        TX_HOURLY,
+        f"""streamed AS (
+  SELECT customer_id, transaction_amount, event_type, CAST(created_at AS DATE) AS day FROM tx_h
+  WHERE event_type <> 'fail_tx'
+  UNION ALL
+  SELECT CAST(c_custkey AS VARCHAR), 1.5, 'click',
+    CAST(to_timestamp(CAST(unnest([{', '.join(GOOD_TIMES)}]) AS DOUBLE)) AT TIME ZONE 'UTC' AS DATE) FROM customer)""",
+    )
+    + f"""SELECT customer_id, event_type, day, COUNT(*) AS "rows", {r('SUM(transaction_amount)')} AS amount
+FROM streamed GROUP BY 1, 2, 3
+UNION ALL SELECT NULL, 'reject', NULL,
+  (SELECT COUNT(*) FROM tx_h WHERE event_type = 'fail_tx') + {len(STRANGE_TIMES)} * (SELECT COUNT(*) FROM customer), 0.0""",
+    "ingest_features": with_(*FEAT_H)
+    + select("feat_h", "event_hour, tx_count, active_users, total_clicks", "total_tx_amount, max_tx_amount"),
     "parse_events": with_(TX_HOURLY)
     + f"SELECT {STREAM_COLUMNS} FROM tx_h WHERE event_type <> 'fail_tx'",
     "parse_event_rejects": with_(TX_HOURLY)
@@ -652,3 +763,35 @@ UNION ALL SELECT 'no_such_key', 'error', 'Invalid query_key', NULL, NULL""",
     ),
     "feature_run_training": TRAINING_CD,
 }
+
+# Hourly tables of the feature job over the daily input.
+_HOURS = [
+    TX_DAILY,
+    MKT_DAILY,
+    fin("fin_x", "tx_d", "event_hour", HOUR),
+    mkt("mk_x", "mkt_d", "event_hour", HOUR),
+    feat("feat_h", "fin_x", "mk_x", "event_hour"),
+]
+_HOURS_LABELLED = [*_HOURS, LABEL_H]
+
+ORACLE |= {
+    "stored_finance_hourly": with_(*_HOURS) + select("fin_x", "event_hour, tx_count, risky_tx_count", FIN_DOUBLES),
+    "stored_marketing_hourly": with_(*_HOURS) + select("mk_x", f"event_hour, {MKT_PLAIN}", MKT_DOUBLES),
+    "stored_feature_hourly": with_(*_HOURS) + select("feat_h", f"event_hour, {FEAT_PLAIN}", FEAT_DOUBLES),
+    "stored_label_hourly": with_(*_HOURS_LABELLED) + "SELECT event_hour, fraud_label, fraud_reason FROM lab_h",
+    "stored_training_hourly": with_(*_HOURS_LABELLED)
+    + select(
+        "(SELECT * FROM feat_h JOIN lab_h USING (event_hour)) x",
+        f"event_hour, {FEAT_PLAIN}, fraud_label, fraud_reason",
+        FEAT_DOUBLES,
+    ),
+    "stored_finance_daily": FIN_DAILY,
+    "stored_marketing_daily": MKT_DAILY_SQL,
+    "stored_feature_daily": ORACLE["feature_daily"],
+    "stored_label_daily": ORACLE["label_daily"],
+    "stored_training_daily": ORACLE["training_daily"],
+    "stored_alert": ORACLE["daily_fraud_alert"],
+    "stored_finance_day": ORACLE["finance_day_basic"],
+    "stored_customer_day": ORACLE["marketing_customer_day"],
+    "stored_marketing_scores": ORACLE["ctr_proxy_target"],
+}

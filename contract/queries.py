@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.ml.functions import vector_to_array
@@ -26,7 +27,7 @@ from riskloom.operators import (
     training,
 )
 from riskloom.plans import jobs
-from riskloom.schema import FEATURES, qualified
+from riskloom.schema import FEATURES, HOURLY_TRAINING, qualified
 from riskloom.session import scratch_path, stage
 from riskloom.sources import files, loads, tables
 from riskloom.streaming import events
@@ -125,10 +126,24 @@ def _model_rows(spark: SparkSession, d: str) -> tuple[DataFrame, splits.Scaler]:
     return rows, splits.fit_standard(rows.where(F.col("split") == "train"), FEATURES)
 
 
-def _quick_model(spark: SparkSession, d: str, steps: int = 20):
+def _trained_model(spark: SparkSession, d: str):
     rows, scaler = _model_rows(spark, d)
     train = splits.apply_standard(rows.where(F.col("split") == "train"), scaler)
-    return rows, scaler, models.train_mlp(train, max_iter=steps)
+    return rows, scaler, models.train_mlp(train)
+
+
+def _score_facts(scored: DataFrame, *columns: str) -> DataFrame:
+    """Per row: whether the probability is one, and the decision follows it."""
+    p = F.col("fraud_probability")
+    return scored.select(
+        *columns,
+        p.between(0, 1).alias("is_probability"),
+        (F.col("fraud_prediction") == F.when(p >= 0.5, 1).otherwise(0)).alias("decision_agrees"),
+    )
+
+
+# A network that learned ranks held-out rows at least this well.
+LEARNED_AUC = 0.9
 
 
 # Sources and sinks
@@ -182,6 +197,21 @@ def load_marketing(spark: SparkSession, d: str) -> DataFrame:
     return loads.load_marketing(spark, path, table, LOAD_TS)
 
 
+@query
+def load_finance_own_times(spark: SparkSession, d: str) -> DataFrame:
+    """Rows whose file gives a time keep it; those without one, or with no time in it, get the load time."""
+    path, table = scratch_path(spark, "csv"), f"{_namespaces(spark)}raw.finance"
+    kind = F.col("event_type")
+    fx.tx_daily(spark, d).select(
+        F.col("transaction_amount").alias("Total Loan"),
+        F.col("account_balance").alias("LCY Deposit"),
+        F.when(kind == "purchase", F.col("created_at").cast("string")).when(
+            F.col("tx_id") % 2 == 0, "no time"
+        ).alias("created_at"),
+    ).write.option("header", True).csv(path)
+    return rounded(loads.load_finance(spark, path, table, LOAD_TS))
+
+
 @query
 def src_parquet(spark: SparkSession, d: str) -> DataFrame:
     return files.read_parquet(spark, f"{d}/orders.parquet")
@@ -714,9 +744,21 @@ def risk_prompt(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def train_mlp(spark: SparkSession, d: str) -> DataFrame:
-    rows, scaler, model = _quick_model(spark, d)
-    test = rows.where(F.col("split") == "test")
-    return jobs.evaluate(stage(models.score_model(model, scaler, test), "scores"))
+    """Facts of every row scored by a network fitted with the default effort."""
+    rows, scaler, model = _trained_model(spark, d)
+    scored = stage(models.score_model(model, scaler, rows), "scores")
+    auc = metrics.roc_auc(scored.where(F.col("split") == "test"), "fraud_label", "fraud_probability")
+    learned = auc.select((F.col("auc") >= LEARNED_AUC).alias("learned")).first()["learned"]
+    return _score_facts(scored, "user_id", "event_date").withColumn("learned", F.lit(learned))
+
+
+def _history_facts(spark: SparkSession, history: models.TrainingHistory) -> DataFrame:
+    """Whether the rounds ended as early stopping says, and the network learned."""
+    rounds, best = len(history.auc), history.best_round
+    stopped = rounds == min(best + models.PATIENCE, models.MAX_ROUNDS)
+    first_best = best == 1 + history.auc.index(max(history.auc))
+    row = (first_best, stopped, max(history.auc) >= LEARNED_AUC)
+    return spark.createDataFrame([row], "best_is_first_maximum boolean, stopped_in_time boolean, learned boolean")
 
 
 @query
@@ -726,26 +768,24 @@ def early_stopping(spark: SparkSession, d: str) -> DataFrame:
         splits.apply_standard(rows.where(F.col("split") == part), scaler)
         for part in ("train", "test")
     )
-    history = models.train_early_stopping(train, test, patience=2, max_rounds=6)
-    rounds = [
-        (number, auc, number == history.best_round)
-        for number, auc in enumerate(history.auc, start=1)
-    ]
-    return spark.createDataFrame(rounds, "round int, auc double, best boolean")
+    return _history_facts(spark, models.train_early_stopping(train, test))
 
 
 @query
 def score_model(spark: SparkSession, d: str) -> DataFrame:
-    rows, scaler, model = _quick_model(spark, d)
-    return models.score_model(model, scaler, rows).select(
-        "user_id", "event_date", "fraud_label", "fraud_probability", "fraud_prediction"
+    """Every probability of a network with given weights."""
+    rows = stage(jobs.model_rows(_customer_days(spark, d)), "model-rows")
+    scaler = splits.fit_standard(rows, FEATURES)
+    scored = models.score_model(fx.fixed_model(spark, len(FEATURES)), scaler, rows)
+    return rounded(
+        scored.select("user_id", "event_date", "fraud_label", "fraud_probability", "fraud_prediction")
     )
 
 
 @query
 def model_store(spark: SparkSession, d: str) -> DataFrame:
     """Rows whose probability changes over a save and reload."""
-    rows, scaler, model = _quick_model(spark, d, steps=5)
+    rows, scaler, model = _trained_model(spark, d)
     path = scratch_path(spark, "model")
     models.save_model(spark, model, scaler, path)
     again, scaler_again = models.load_model(spark, path)
@@ -761,25 +801,39 @@ def model_store(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def marketing_model(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of each part, and whether the network learned the proxy rule there."""
     days = features.marketing_customer_day(fx.mkt_daily(spark, d))
-    return jobs.run_marketing_training(spark, days, scratch_path(spark, "model"))
+    report = jobs.run_marketing_training(spark, days, scratch_path(spark, "model"))
+    return report.select("part", "rows", (F.col("auc") >= LEARNED_AUC).alias("learned"))
 
 
 @query
 def transaction_inference(spark: SparkSession, d: str) -> DataFrame:
-    tx = models.transaction_features(labels.synthetic_fraud(fx.tx_daily(spark, d)))
-    columns = models.TRANSACTION_FEATURES
-    train = splits.train_test_split(tx, ["tx_id"]).where(F.col("split") == "train")
-    scaler = splits.fit_standard(train, columns)
-    model = models.train_mlp(splits.apply_standard(train, scaler), columns, "fraud", max_iter=20)
-    return models.score_transactions(model, scaler, fx.tx_daily(spark, d))
+    """Every probability of a network with given weights."""
+    tx = fx.tx_daily(spark, d)
+    scaler = splits.fit_standard(models.transaction_features(tx), models.TRANSACTION_FEATURES)
+    model = fx.fixed_model(spark, len(models.TRANSACTION_FEATURES))
+    return rounded(models.score_transactions(model, scaler, tx))
 
 
 @query
 def anomaly_isolation(spark: SparkSession, d: str) -> DataFrame:
-    tx = fx.tx_daily(spark, d).select("tx_id", "transaction_amount", "account_balance")
-    return anomaly.isolation_scores(
-        tx, "tx_id", ["transaction_amount", "account_balance"], contamination=0.05
+    """Per row: a score in range, a flag that follows the exact quantile; planted rows are flagged."""
+    columns = ["transaction_amount", "account_balance"]
+    planted = spark.createDataFrame(
+        [(-n, 1e9 * n, -1e9 * n) for n in (1, 2, 3)], "tx_id bigint, transaction_amount double, account_balance double"
+    )
+    tx = fx.tx_daily(spark, d).select("tx_id", *columns).unionByName(planted)
+    scored = stage(anomaly.isolation_scores(tx, "tx_id", columns, contamination=0.05), "anomalies")
+    cut = scored.agg(F.percentile("anomaly_score", F.lit(0.05))).first()[0]
+    score = F.col("anomaly_score")
+    # The quantile is interpolated by two ways of rounding; rows at the cut itself may differ.
+    agrees = (F.col("is_anomaly") == F.when(score < cut, 1).otherwise(0)) | (F.abs(score - cut) < 1e-12)
+    return scored.select(
+        "tx_id",
+        score.between(-1, 0).alias("in_range"),
+        agrees.alias("flag_agrees"),
+        F.when(F.col("tx_id") < 0, F.col("is_anomaly") == 1).alias("planted_flagged"),
     )
 
 
@@ -792,6 +846,34 @@ def _messages(spark: SparkSession, d: str) -> DataFrame:
     return tx.select(F.coalesce(broken, fx.event_json(tx)).cast("binary").alias("value"))
 
 
+# Epoch values of messages whose time is damaged or in another unit, and of good ones.
+STRANGE_TIMES = ["1e15", "1e30", "1704067200000", '"NaN"', "-86400", "4102444800", "null"]
+GOOD_TIMES = ["0", "1704067200.25", "4102444799"]
+
+
+def _strange_messages(spark: SparkSession, d: str) -> DataFrame:
+    """Each user's message with every strange and good time in turn."""
+    users = fx.table(spark, d, "customer").select(F.col("c_custkey").alias("id"))
+    times = F.explode(F.array(*map(F.lit, STRANGE_TIMES + GOOD_TIMES))).alias("at")
+    message = F.format_string(
+        '{"customer_id": %d, "transaction_amount": 1.5, "event_type": "click", "timestamp": %s}', "id", "at"
+    )
+    return users.select("id", times).select(message.alias("value"))
+
+
+@query
+def parse_events_strange_times(spark: SparkSession, d: str) -> DataFrame:
+    good, bad = events.parse_events(_strange_messages(spark, d))
+    seconds = F.unix_micros(F.col("created_at").cast("timestamp")) / 1e6
+    kept = good.select("customer_id", F.lit("good").alias("end"), seconds.alias("seconds"))
+    lost = bad.select(
+        F.get_json_object("value", "$.customer_id").alias("customer_id"),
+        F.lit("reject").alias("end"),
+        F.lit(None).cast("double").alias("seconds"),
+    )
+    return kept.unionByName(lost)
+
+
 @query
 def parse_events(spark: SparkSession, d: str) -> DataFrame:
     return rounded(events.parse_events(_messages(spark, d))[0])
@@ -823,6 +905,51 @@ def stream_append(spark: SparkSession, d: str) -> DataFrame:
     return rounded(files.read_parquet(spark, out))
 
 
+def _ingested(spark: SparkSession, messages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both tables of the ingest job, stopped and started again on the way."""
+    inbox, state = scratch_path(spark, "inbox"), scratch_path(spark, "state")
+    cfg = jobs.IngestConfig(state, _prefix(), scratch_path(spark, "namespaces"))
+    half = F.pmod(F.xxhash64("value"), F.lit(2))
+    for part in (0, 1):
+        messages.where(half == part).write.mode("append").text(inbox)
+        jobs.run_ingest(spark, events.stream_source(spark, "text", path=inbox), cfg, once=True).awaitTermination()
+    good, bad = (spark.table(qualified(name, cfg.prefix)) for name in (cfg.transactions, cfg.rejects))
+    return good, bad
+
+
+@query
+def ingest_run(spark: SparkSession, d: str) -> DataFrame:
+    """Transactions and rejects as the ingest job stores them."""
+    strange = _strange_messages(spark, d)
+    good, bad = _ingested(spark, _messages(spark, d).select(F.col("value").cast("string").alias("value")).union(strange))
+    amounts = good.groupBy("customer_id", "event_type", F.to_date("created_at").alias("day")).agg(
+        F.count("*").alias("rows"), F.sum("transaction_amount").alias("amount")
+    )
+    dated = good.where(F.col("event_date") != F.to_date("created_at")).count()
+    rejects = bad.agg(
+        F.lit(None).cast("string").alias("customer_id"),
+        F.lit("reject").alias("event_type"),
+        F.lit(None).cast("date").alias("day"),
+        F.count("*").alias("rows"),
+        F.lit(float(dated)).alias("amount"),
+    )
+    return rounded(amounts.unionByName(rejects))
+
+
+@query
+def ingest_features(spark: SparkSession, d: str) -> DataFrame:
+    """Hourly features of the streamed transactions."""
+    tx = fx.tx_hourly(spark, d)
+    good, _ = _ingested(spark, tx.select(fx.event_json(tx).alias("value")))
+    cfg = jobs.FeatureConfig(_prefix(), scratch_path(spark, "namespaces"))
+    made = jobs.run_features(spark, good, fx.mkt_hourly(spark, d), cfg)
+    return rounded(
+        made["feature.feature_fraud"].select(
+            "event_hour", "tx_count", "total_tx_amount", "max_tx_amount", "active_users", "total_clicks"
+        )
+    )
+
+
 # Jobs
 
 
@@ -843,31 +970,64 @@ def feature_run(spark: SparkSession, d: str) -> DataFrame:
     return quality.source_row_counts(made)
 
 
+# Tables of the feature job over one input, made once for all queries that look at one of them.
+_made: dict[tuple[str, str], dict[str, str]] = {}
+
+
+def _feature_table(spark: SparkSession, d: str, name: str) -> DataFrame:
+    key = spark.sparkContext.applicationId, d
+    if key not in _made:
+        cfg = jobs.FeatureConfig(_prefix(), scratch_path(spark, "namespaces"))
+        made = jobs.run_features(spark, fx.tx_daily(spark, d), fx.mkt_daily(spark, d), cfg)
+        _made[key] = {table: qualified(table, cfg.prefix) for table in made}
+    return rounded(spark.table(_made[key][name]))
+
+
 @query
 def feature_run_training(spark: SparkSession, d: str) -> DataFrame:
     """The customer-day training set as the feature job stores it."""
-    cfg = jobs.FeatureConfig(_prefix(), scratch_path(spark, "namespaces"))
-    made = jobs.run_features(spark, fx.tx_daily(spark, d), fx.mkt_daily(spark, d), cfg)
-    return rounded(made["feature.training_fraud_dataset"])
+    return _feature_table(spark, d, "feature.training_fraud_dataset")
+
+
+# The other stored tables, each a query of its own.
+STORED = {
+    "stored_finance_hourly": "feature.finance_fraud_features",
+    "stored_marketing_hourly": "feature.marketing_fraud_features",
+    "stored_feature_hourly": "feature.feature_fraud",
+    "stored_label_hourly": "label.fraud_label",
+    "stored_training_hourly": HOURLY_TRAINING,
+    "stored_finance_daily": "feature.finance_fraud_daily",
+    "stored_marketing_daily": "feature.marketing_fraud_daily",
+    "stored_feature_daily": "feature.feature_fraud_daily",
+    "stored_label_daily": "label.fraud_label_daily",
+    "stored_training_daily": "feature.training_fraud_daily",
+    "stored_alert": "alert.daily_fraud_alert",
+    "stored_finance_day": "feature.finance",
+    "stored_customer_day": "feature.marketing",
+    "stored_marketing_scores": "feature.marketing_scores",
+}
+for _name, _table in STORED.items():
+    QUERIES[_name] = partial(_feature_table, name=_table)
 
 
 @query
 def training_run(spark: SparkSession, d: str) -> DataFrame:
-    cfg = jobs.TrainingConfig(scratch_path(spark, "model"), patience=2, max_rounds=6)
-    return jobs.run_training(spark, _customer_days(spark, d), cfg)[1]
+    """Facts of a training run with the default effort."""
+    cfg = jobs.TrainingConfig(scratch_path(spark, "model"))
+    history, report = jobs.run_training(spark, _customer_days(spark, d), cfg)
+    held_out = report.select("rows", (F.col("auc") >= LEARNED_AUC).alias("holds_on_test_rows")).first()
+    facts = _history_facts(spark, history)
+    return facts.withColumns({"test_rows": F.lit(held_out["rows"]), "holds_on_test_rows": F.lit(held_out[1])})
 
 
 @query
 def scoring_run(spark: SparkSession, d: str) -> DataFrame:
-    rows, scaler, model = _quick_model(spark, d)
+    """Every score of the stored network with given weights."""
+    days = stage(_customer_days(spark, d), "days")
+    scaler = splits.fit_standard(jobs.model_rows(days), FEATURES)
     path = scratch_path(spark, "model")
-    models.save_model(spark, model, scaler, path)
-    scored = jobs.run_scoring(spark, clean.drop_columns(rows, ["split", "Day"]), path)
-    return scored.select(
-        "user_id",
-        "event_date",
-        "fraud_probability",
-        "fraud_prediction",
-        "scaled_score",
-        F.md5("prompt").alias("prompt_md5"),
+    models.save_model(spark, fx.fixed_model(spark, len(FEATURES)), scaler, path)
+    scored = jobs.run_scoring(spark, days, path)
+    return rounded(
+        scored.select("user_id", "event_date", "fraud_probability", "fraud_prediction", "scaled_score")
     )

@@ -15,12 +15,25 @@ def hour_start(ts: Column) -> Column:
     return F.to_date(ts).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.hour(ts))
 
 
-def epoch_to_ts(seconds: Column) -> Column:
-    """Epoch seconds, fractions kept, as UTC ``timestamp_ntz``."""
+# Epoch seconds an event may bear: from 1970 up to, not including, 2100.
+EARLIEST, LATEST = 0.0, 4_102_444_800.0
+
+
+def epoch_to_ts(seconds: Column, earliest: float = EARLIEST, latest: float = LATEST) -> Column:
+    """Epoch seconds, fractions kept, as UTC ``timestamp_ntz``.
+
+    NULL outside [``earliest``, ``latest``), which NaN is too: such a number is
+    another unit or damage, and most have no timestamp.
+    """
+    known = F.when((seconds >= earliest) & (seconds < latest), seconds)
+    return _epoch_to_ts(known)
+
+
+def _epoch_to_ts(seconds: Column) -> Column:
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     whole = F.floor(seconds)
     micros = F.round((seconds - whole) * 1_000_000)
-    days = F.floor(whole / 86400).cast("int")
+    days = F.floor(whole / 86400).try_cast("int")
     secs = (whole % 86400 + 86400) % 86400 + micros / 1_000_000
     return epoch + F.make_dt_interval(days, F.lit(0), F.lit(0), secs.cast("decimal(18,6)"))
 

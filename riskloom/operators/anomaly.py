@@ -20,7 +20,7 @@ from .ordered import exact_quantiles
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _TREE_SCHEMA = (
-    "tree int, feature array<int>, cut array<double>, "
+    "tree int, rows int, feature array<int>, cut array<double>, "
     "left array<int>, right array<int>, path array<double>"
 )
 _FRACTION_BITS = 53
@@ -37,13 +37,12 @@ def average_path(rows: int) -> float:
 
 
 def grow_tree(
-    tree: int, rows: pd.DataFrame, columns: list[str], sample: int, seed: int
+    tree: int, rows: pd.DataFrame, columns: list[str], seed: int
 ) -> pd.DataFrame:
-    """Grow one tree from its subsample: nodes as parallel arrays, leaves loop to themselves."""
-    chosen = rows.sort_values(["_draw", "_key"]).head(sample)
-    data = chosen[columns].to_numpy(dtype=float)
+    """Grow one tree from the rows drawn for it: nodes as parallel arrays, leaves loop to themselves."""
+    data = rows.sort_values("_key")[columns].to_numpy(dtype=float)
     rng = np.random.default_rng([seed, tree])
-    limit = int(np.ceil(np.log2(max(sample, 2))))
+    limit = int(np.ceil(np.log2(max(len(data), 2))))
     nodes: dict[str, list] = {"feature": [], "cut": [], "left": [], "right": [], "path": []}
     pending = [(np.arange(len(data)), 0, -1, "left")]
     while pending:
@@ -66,7 +65,7 @@ def grow_tree(
             below = part[:, feature] < cut
             pending.append((members[~below], depth + 1, node, "right"))
             pending.append((members[below], depth + 1, node, "left"))
-    return pd.DataFrame([{"tree": tree, **nodes}])
+    return pd.DataFrame([{"tree": tree, "rows": len(data), **nodes}])
 
 
 def _fraction(*columns: Column | str) -> Column:
@@ -75,39 +74,53 @@ def _fraction(*columns: Column | str) -> Column:
     return low_bits / F.lit(float(1 << _FRACTION_BITS))
 
 
+def draw_rate(sample: int, rows: int) -> float:
+    """Share of the rows that each tree draws, so that hardly any tree gets fewer than ``sample``.
+
+    The margin is six deviations of the number drawn, and a little for small samples.
+    """
+    return min(1.0, (sample + 6.0 * sample**0.5 + 12.0) / max(rows, 1))
+
+
+def draw(rows: DataFrame, rate: float, trees: int, seed: int) -> DataFrame:
+    """Rows with each ``tree`` that draws them, every tree independently at ``rate``.
+
+    One hash of the key decides whether and by which tree a row is drawn first, so
+    the later trees are looked at for drawn rows only.
+    """
+    rate = min(rate, 1.0 - 1e-12)
+    first = F.floor(F.log1p(-_fraction("_key", F.lit(seed))) / F.log1p(F.lit(-rate)))
+    met = rows.withColumn("_first", first).where(F.col("_first") < trees)
+    later = F.filter(
+        F.sequence(F.lit(0).cast("bigint"), F.lit(trees - 1).cast("bigint")),
+        lambda t: (t == F.col("_first")) | ((t > F.col("_first")) & (_fraction("_key", F.lit(seed), t) < rate)),
+    )
+    met = met.withColumn("tree", F.explode(later)).drop("_first")
+    return met.withColumn("tree", F.col("tree").cast("int"))
+
+
 def fit_forest(
-    df: DataFrame, key: str, columns: Sequence[str], trees: int, sample: int, seed: int
-) -> tuple[list[dict[str, np.ndarray]], int]:
-    """Grow ``trees`` trees, each from ``sample`` rows drawn by hash of the row key.
-
-    Returns the trees and the rows per tree, fewer where the table is smaller.
-    Rows first pass one draw into a pool of about trees x sample rows, so the
-    per-tree draws cost nothing on the full table. Groups stay near twice
-    ``sample`` rows, and the model is bounded by trees x sample nodes.
+    complete: DataFrame, columns: Sequence[str], trees: int, sample: int, seed: int
+) -> list[dict[str, np.ndarray]]:
+    """Grow ``trees`` trees, each from about ``sample`` rows or a little more.
+
+    ``complete`` has a unique ``_key`` and no missing values. A tree notes how
+    many rows it grew from; the model is bounded by trees x sample nodes.
     """
     columns = list(columns)
-    complete = df.dropna(subset=columns).select(F.col(key).alias("_key"), *columns)
     rows = complete.count()
     if not rows:
-        return [], 0
-    sample = min(sample, rows)
-    pool = min(rows, trees * sample)
-    pooled = complete
-    if pool < rows:
-        pooled = complete.where(_fraction("_key", F.lit(seed), F.lit("pool")) < pool / rows)
-    drawn = (
-        pooled.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-        .withColumn("_draw", _fraction("_key", F.lit(seed), "tree"))
-        .where(F.col("_draw") < min(1.0, 2 * sample / pool))
-    )
+        return []
+    drawn = draw(complete, draw_rate(sample, rows), trees, seed)
 
     def grow(group: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        return grow_tree(int(group[0]), rows, columns, sample, seed)
+        return grow_tree(int(group[0]), rows, columns, seed)
 
     # Growing is bound by computation: one small task per tree.
     grown = drawn.repartition(trees, "tree").groupBy("tree").applyInPandas(grow, _TREE_SCHEMA)
     forest = [
         {
+            "rows": row["rows"],
             "feature": np.asarray(row["feature"], dtype=np.int64),
             "cut": np.asarray(row["cut"], dtype=float),
             "left": np.asarray(row["left"], dtype=np.int64),
@@ -116,12 +129,13 @@ def fit_forest(
         }
         for row in sorted(grown.collect(), key=lambda r: r["tree"])
     ]
-    return forest, sample
+    if len(forest) < trees:
+        raise RuntimeError(f"{trees - len(forest)} of {trees} trees drew no row")
+    return forest
 
 
-def mean_paths(forest: list[dict[str, np.ndarray]], data: np.ndarray, sample: int) -> np.ndarray:
-    """Mean path length of each row over the trees, all rows walking a tree together."""
-    steps = int(np.ceil(np.log2(max(sample, 2))))
+def mean_paths(forest: list[dict[str, np.ndarray]], data: np.ndarray) -> np.ndarray:
+    """Mean over the trees of each row's path, as a share of the tree's usual path."""
     rows, width = data.shape
     flat, first = data.ravel(), np.arange(rows) * width
     total = np.zeros(rows)
@@ -129,10 +143,10 @@ def mean_paths(forest: list[dict[str, np.ndarray]], data: np.ndarray, sample: in
         # Children side by side: 2 x node for the right one, 2 x node + 1 for the left.
         children = np.column_stack([tree["right"], tree["left"]]).ravel()
         node = np.zeros(rows, dtype=np.int64)
-        for _ in range(steps):
+        for _ in range(int(np.ceil(np.log2(max(tree["rows"], 2))))):
             value = flat.take(first + tree["feature"].take(node))
             node = children.take(2 * node + (value < tree["cut"].take(node)))
-        total += tree["path"].take(node)
+        total += tree["path"].take(node) / (average_path(tree["rows"]) or 1.0)
     return total / max(len(forest), 1)
 
 
@@ -153,14 +167,15 @@ def isolation_scores(
     score and no flag.
     """
     columns = list(columns)
-    grown, drawn = fit_forest(df, key, columns, trees, sample, seed)
+    narrow = df.dropna(subset=columns).select(F.col(key).alias("_key"), *(F.col(c).cast("double").alias(c) for c in columns))
+    grown = fit_forest(stage(narrow, "forest-rows"), columns, trees, sample, seed)
+    # Bounded by trees x sample nodes.
     forest = df.sparkSession.sparkContext.broadcast(grown)
-    usual = average_path(drawn) or 1.0
 
     @F.pandas_udf("double")
     def score(features: pd.DataFrame) -> pd.Series:
         data = features.to_numpy(dtype=float)
-        scores = -np.power(2.0, -mean_paths(forest.value, data, drawn) / usual)
+        scores = -np.power(2.0, -mean_paths(forest.value, data))
         return pd.Series(np.where(np.isnan(data).any(axis=1), np.nan, scores))
 
     raw = score(F.struct(*(F.col(c).cast("double").alias(c) for c in columns)))

@@ -6,15 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules, times
+from ..schema import FEATURES
 
-FINANCE_FEATURES = [
-    "tx_count",
-    "total_tx_amount",
-    "avg_tx_amount",
-    "max_tx_amount",
-    "std_tx_amount",
-    "avg_account_balance",
-]
+# The model features that describe the transactions of an hour or day.
+FINANCE_FEATURES = FEATURES[: FEATURES.index("total_clicks")]
 
 
 def _finance_aggregates() -> list[Column]:

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator
 from math import pi, sqrt
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +16,10 @@ from pyspark.sql import functions as F
 from ..sources.tables import dataset
 from .ordered import exact_quantiles
 
+# Functions of this module travel with the tasks that use them, so executors
+# need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Box length for whiskers, quartiles, default bins and grid.
 WHISKER = 1.5
 QUARTILES = [0.25, 0.5, 0.75]
@@ -86,35 +95,36 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [name for name, kind in df.dtypes if kind.split("(")[0] in _NUMERIC]
 
 
-def _long(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Columns as (column, value) rows, values as doubles."""
-    pairs = (
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns
-    )
-    return df.select(F.explode(F.array(*pairs)).alias("pair")).select("pair.*")
-
-
 def describe(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Count, mean, sample deviation, extremes and exact quartiles per numeric column."""
-    long = _long(df, columns or numeric_columns(df))
-    moments = long.groupBy("column").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    quartiles = (
-        exact_quantiles(long, "value", QUARTILES, by=["column"])
-        .groupBy("column")
-        .agg(
-            *(
-                F.max(F.when(F.col("prob") == q, F.col("quantile"))).alias(f"q{round(q * 100)}")
-                for q in QUARTILES
-            )
+    """Count, mean, sample deviation, extremes and exact quartiles per numeric column.
+
+    Moments of all columns come from one row of aggregates, the quartiles from
+    ranks bracketed for all columns together.
+    """
+    columns = columns or numeric_columns(df)
+    value = {c: F.col(c).cast("double") for c in columns}
+    moments = df.agg(
+        *(
+            F.struct(
+                F.lit(c).alias("column"),
+                F.count(v).alias("count"),
+                F.avg(v).alias("mean"),
+                F.stddev_samp(v).alias("std"),
+                F.min(v).alias("min"),
+                F.max(v).alias("max"),
+            ).alias(f"_{n}")
+            for n, (c, v) in enumerate(value.items())
         )
     )
-    return moments.join(quartiles, "column", "left")
+    moments = moments.select(F.explode(F.array(*moments.columns)).alias("row")).select("row.*")
+    # Only what lies in a bracket is shuffled, so a row per column costs no more.
+    pairs = F.array(*(F.struct(F.lit(c).alias("column"), v.alias("value")) for c, v in value.items()))
+    long = df.select(F.explode(pairs).alias("pair")).select("pair.*")
+    found = exact_quantiles(long, "value", QUARTILES, by=["column"])
+    named = (
+        F.max(F.when(F.col("prob") == q, F.col("quantile"))).alias(f"q{round(q * 100)}") for q in QUARTILES
+    )
+    return moments.join(found.groupBy("column").agg(*named), "column", "left")
 
 
 def null_counts(df: DataFrame) -> DataFrame:
@@ -169,12 +179,20 @@ def histogram(df: DataFrame, column: str, bins: int = BINS) -> DataFrame:
     )
 
 
+def kernel_sums(values: np.ndarray, grid: np.ndarray, width: float) -> np.ndarray:
+    """Gaussian terms of all values at each grid point, a few thousand values at a time."""
+    total = np.zeros(len(grid))
+    for at in range(0, len(values), 4096):
+        distance = (grid[:, None] - values[None, at : at + 4096]) / width
+        total += np.exp(-0.5 * distance * distance).sum(axis=1)
+    return total
+
+
 def kde(df: DataFrame, column: str, points: int = GRID) -> DataFrame:
     """Gaussian density on an even grid from minimum to maximum, Scott's bandwidth.
 
-    Equal values are counted first; the grid has a fixed size, so each distinct
-    value adds ``points`` terms to sums that combine within each task. NULL
-    densities for a column without spread.
+    Every task sums the terms of its own values at the grid points; only these
+    sums are shuffled. NULL densities for a column without spread.
     """
     value = F.col(column).cast("double")
     low, high, n, std = df.agg(
@@ -183,16 +201,21 @@ def kde(df: DataFrame, column: str, points: int = GRID) -> DataFrame:
     if not std:
         low, high = low or 0.0, high or 0.0
     width = std * n**-0.2 if std else None
-    counted = df.where(value.isNotNull()).groupBy(value.alias("v")).agg(F.count("*").alias("n"))
-    at = F.lit(low) + F.col("point") * (high - low) / (points - 1)
-    distance = (at - F.col("v")) / F.lit(width).cast("double")
-    sums = (
-        counted.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
-        .groupBy("point")
-        .agg(F.sum(F.col("n") * F.exp(distance * distance * -0.5)).alias("mass"))
-    )
+    grid = np.array([low + place * (high - low) / (points - 1) for place in range(points)])
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(points)
+        for batch in batches:
+            if width:
+                total += kernel_sums(batch.column("v").to_numpy(), grid, width)
+        yield pa.RecordBatch.from_arrays([pa.array(range(points), pa.int32()), pa.array(total)], ["point", "mass"])
+
+    values = df.where(value.isNotNull()).select(value.alias("v"))
+    mass = values.mapInArrow(sums, "point int, mass double").groupBy("point").agg(F.sum("mass").alias("mass"))
     scale = n * width * sqrt(2 * pi) if width else None
-    return sums.select(
+    at = F.lit(low) + F.col("point") * (high - low) / (points - 1)
+    every = df.sparkSession.range(points).select(F.col("id").cast("int").alias("point"))
+    return every.join(mass, "point", "left").select(
         "point",
         at.alias("x"),
         (F.col("mass") / F.lit(scale).cast("double")).alias("density"),

@@ -68,10 +68,16 @@ def finance_rollup(partials: DataFrame, grain: str) -> DataFrame:
     )
 
 
-def marketing_partials(mkt: DataFrame) -> DataFrame:
-    """One row per customer and day, with the counts that averages need."""
-    day = times.day_start(F.col("created_at")).alias("event_date")
-    return mkt.groupBy("customer_id", day).agg(
+_MARKETING_SUMS = ("total_clicks", "total_impressions", "total_conversion", "click_rows", "conversion_rows")
+
+
+def marketing_hour_partials(mkt: DataFrame) -> DataFrame:
+    """One row per customer and hour, with the counts that averages need.
+
+    Rows are shuffled by hour and id together, so a hot hour is spread by id.
+    """
+    hour = times.hour_start(F.col("created_at")).alias("event_hour")
+    return mkt.groupBy("customer_id", hour).agg(
         F.sum("clicks").alias("total_clicks"),
         F.sum("impressions").alias("total_impressions"),
         F.sum("conversion").alias("total_conversion"),
@@ -80,17 +86,35 @@ def marketing_partials(mkt: DataFrame) -> DataFrame:
     )
 
 
+def marketing_partials(mkt: DataFrame) -> DataFrame:
+    """One row per customer and day, as ``customer_days`` makes from hours."""
+    return customer_days(marketing_hour_partials(mkt))
+
+
+def customer_days(hours: DataFrame) -> DataFrame:
+    """Customer days from customer hours."""
+    day = times.day_start(F.col("event_hour")).alias("event_date")
+    return hours.groupBy("customer_id", day).agg(*(F.sum(c).alias(c) for c in _MARKETING_SUMS))
+
+
 def customer_day_rollup(partials: DataFrame) -> DataFrame:
     """``marketing_customer_day`` from its partials."""
     return with_customer_ctr(partials.drop("click_rows", "conversion_rows"))
 
 
 def marketing_day_rollup(partials: DataFrame) -> DataFrame:
-    """Daily ``marketing_features`` from customer-day partials.
+    """Daily ``marketing_features`` from customer-day partials."""
+    return _marketing_rollup(partials, F.col("event_date").alias("event_day"))
 
-    Each id is one row of its day, so counting rows replaces a distinct count.
-    """
-    return partials.groupBy(F.col("event_date").alias("event_day")).agg(
+
+def marketing_hour_rollup(partials: DataFrame) -> DataFrame:
+    """Hourly ``marketing_features`` from customer-hour partials."""
+    return _marketing_rollup(partials, F.col("event_hour"))
+
+
+def _marketing_rollup(partials: DataFrame, bucket: Column) -> DataFrame:
+    """Each id is one row of its bucket, so counting rows replaces a distinct count."""
+    return partials.groupBy(bucket).agg(
         F.count("customer_id").alias("active_users"),
         F.sum("total_clicks").alias("total_clicks"),
         F.sum("total_impressions").alias("total_impressions"),

@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import rules
 from ..operators import features, labels, metrics, models, rollup, splits, training
 from ..operators.clean import ctr_proxy_target, day_of_month, silver_clean
 from ..operators.prompts import risk_prompt
-from ..schema import FEATURES, qualified
+from ..schema import FEATURES, HOURLY_TRAINING, qualified
 from ..session import scratch_scope, stage
 from ..sources.files import read_csv, read_parquet, write_parquet
 from ..sources.tables import ensure_namespaces, materialize, write_jdbc
+from ..streaming.events import ingest_events
 
 
 @dataclass(frozen=True)
@@ -57,9 +61,10 @@ def run_features(
 ) -> dict[str, DataFrame]:
     """All feature, label, training and alert tables, in dependency order.
 
-    Transactions are read once (hourly partials serve both grains and the
-    customer days); marketing twice, for distinct ids per hour and for customer
-    days, which marketing days then come from.
+    Both inputs are read once: hourly partials of the transactions serve both
+    grains and the customer days, customer-hour partials of the marketing rows
+    its hours, customer days and days. The hourly tables are made beside the daily
+    ones. Every table is replaced, so a run that is repeated leaves the same tables.
     """
     ensure_namespaces(spark, cfg.location, cfg.prefix)
     tables: dict[str, DataFrame] = {}
@@ -70,48 +75,63 @@ def run_features(
 
     with scratch_scope(spark):
         tx_hours = stage(rollup.finance_partials(tx), "finance-partials")
-        mkt_days = stage(rollup.marketing_partials(mkt), "marketing-partials")
+        mkt_hours = stage(rollup.marketing_hour_partials(mkt), "marketing-partials")
+
+        def hourly() -> None:
+            finance = save("feature.finance_fraud_features", rollup.finance_rollup(tx_hours, "hour"))
+            marketing = save("feature.marketing_fraud_features", rollup.marketing_hour_rollup(mkt_hours))
+            joined = save(
+                "feature.feature_fraud",
+                features.join_features(finance, marketing, "event_hour", cfg.ctr_mode),
+            )
+            label = save("label.fraud_label", labels.label_hourly(joined))
+            save(HOURLY_TRAINING, training.training_set(joined, label, "event_hour"))
+
+        def daily() -> None:
+            mkt_days = stage(rollup.customer_days(mkt_hours), "customer-days")
+            finance = save("feature.finance_fraud_daily", rollup.finance_rollup(tx_hours, "day"))
+            marketing = save("feature.marketing_fraud_daily", rollup.marketing_day_rollup(mkt_days))
+            joined = save(
+                "feature.feature_fraud_daily",
+                features.join_features(finance, marketing, "event_day", cfg.ctr_mode),
+            )
+            label = save("label.fraud_label_daily", labels.label_daily(joined))
+            save("feature.training_fraud_daily", training.training_set(joined, label, "event_day"))
+            save("alert.daily_fraud_alert", labels.daily_fraud_alert(label))
 
-        finance_hourly = save(
-            "feature.finance_fraud_features", rollup.finance_rollup(tx_hours, "hour")
-        )
-        marketing_hourly = save(
-            "feature.marketing_fraud_features", features.marketing_features(mkt, "hour")
-        )
-        feature_hourly = save(
-            "feature.feature_fraud",
-            features.join_features(finance_hourly, marketing_hourly, "event_hour", cfg.ctr_mode),
-        )
-        label_hourly = save("label.fraud_label", labels.label_hourly(feature_hourly))
-        save(
-            "feature.training_fradu_dataset",
-            training.training_set(feature_hourly, label_hourly, "event_hour"),
-        )
+            finance_day = save(
+                "feature.finance",
+                finance.select(F.col("event_day").alias("event_date"), *features.FINANCE_FEATURES),
+            )
+            customer_day = save("feature.marketing", rollup.customer_day_rollup(mkt_days))
+            save("feature.marketing_scores", ctr_proxy_target(customer_day))
+            scored = stage(training.score_customer_days(customer_day, finance_day), "scored")
+            save("feature.training_fraud_dataset", training.label_customer_days(scored))
+
+        with ThreadPoolExecutor(2) as pool:
+            # Each thread works in the scratch folder of this run.
+            for branch in [pool.submit(copy_context().run, work) for work in (hourly, daily)]:
+                branch.result()
+    return tables
 
-        finance_daily = save("feature.finance_fraud_daily", rollup.finance_rollup(tx_hours, "day"))
-        marketing_daily = save(
-            "feature.marketing_fraud_daily", rollup.marketing_day_rollup(mkt_days)
-        )
-        feature_daily = save(
-            "feature.feature_fraud_daily",
-            features.join_features(finance_daily, marketing_daily, "event_day", cfg.ctr_mode),
-        )
-        label_daily = save("label.fraud_label_daily", labels.label_daily(feature_daily))
-        save(
-            "feature.training_fraud_daily",
-            training.training_set(feature_daily, label_daily, "event_day"),
-        )
-        save("alert.daily_fraud_alert", labels.daily_fraud_alert(label_daily))
 
-        finance_day = save(
-            "feature.finance",
-            finance_daily.select(F.col("event_day").alias("event_date"), *features.FINANCE_FEATURES),
-        )
-        customer_day = save("feature.marketing", rollup.customer_day_rollup(mkt_days))
-        save("feature.marketing_scores", ctr_proxy_target(customer_day))
-        scored = stage(training.score_customer_days(customer_day, finance_day), "scored")
-        save("feature.training_fraud_dataset", training.label_customer_days(scored))
-    return tables
+@dataclass(frozen=True)
+class IngestConfig:
+    """Tables a stream of user events fills, and where it notes its progress."""
+
+    checkpoint: str
+    prefix: str = ""
+    location: str | None = None
+    transactions: str = "raw.finance"
+    rejects: str = "raw.user_event_rejects"
+    interval: str = "1 minute"
+
+
+def run_ingest(spark: SparkSession, messages: DataFrame, cfg: IngestConfig, once: bool = False) -> StreamingQuery:
+    """Stream messages into the raw transaction table, which ``run_features`` reads, and the rejects."""
+    ensure_namespaces(spark, cfg.location, cfg.prefix)
+    good, bad = (qualified(name, cfg.prefix) for name in (cfg.transactions, cfg.rejects))
+    return ingest_events(messages, good, bad, cfg.checkpoint, once, cfg.interval)
 
 
 @dataclass(frozen=True)
@@ -146,9 +166,12 @@ def run_training(
         )
         train, test = (rows.where(F.col("split") == part) for part in ("train", "test"))
         scaler = splits.fit_standard(train, cfg.features)
+        # Rounds stop on a part of the training rows, so the test rows only measure.
+        parts = splits.stratified_split(train.drop("split"), cfg.key, cfg.label, seed=splits.SEED + 1)
+        fitted, stopping = (parts.where(F.col("split") == part) for part in ("train", "test"))
         history = models.train_early_stopping(
-            splits.apply_standard(train, scaler),
-            splits.apply_standard(test, scaler),
+            splits.apply_standard(fitted, scaler),
+            splits.apply_standard(stopping, scaler),
             cfg.features,
             cfg.label,
             cfg.patience,

@@ -33,9 +33,15 @@ USER_EVENT = T.StructType(
     ]
 )
 
+# Messages that are no events, as they came.
+REJECTS = T.StructType([T.StructField("value", T.StringType())])
+
 # Namespaces, table names, registry keys and model features.
 NAMESPACES = ("raw", "feature", "label", "alert")
 
+# The hourly training table bears this name.
+HOURLY_TRAINING = "feature.training_fradu_dataset"
+
 REGISTRY = {
     "finance": "feature.finance",
     "marketing": "feature.marketing",

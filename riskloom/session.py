@@ -54,9 +54,16 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
     Only a local session may go without the setting; it gets a temporary folder.
+    On a cluster a path of the machine's own file system is refused, unless
+    ``spark.riskloom.sharedMount`` says that all machines mount it.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
+        mounted = spark.conf.get("spark.riskloom.sharedMount", "false") == "true"
+        if not mounted and not spark.sparkContext.master.startswith("local"):
+            path = spark._jvm.org.apache.hadoop.fs.Path(named)
+            if path.getFileSystem(spark._jsc.hadoopConfiguration()).getUri().getScheme() == "file":
+                raise RuntimeError("spark.checkpoint.dir is a folder of one machine")
         return named.rstrip("/")
     app = spark.sparkContext.applicationId
     if not spark.sparkContext.master.startswith("local"):

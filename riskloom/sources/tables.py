@@ -81,9 +81,14 @@ def read_jdbc(
     bounds: tuple[str, str] | None = None,
     fmt: str = "jdbc",
 ) -> DataFrame:
-    """Read a database table, in parallel slices of ``split_column`` if given."""
+    """Read a database table, in parallel slices of ``split_column`` if given, with its bounds.
+
+    Without a split column one task reads the whole table, which suits small ones.
+    """
+    if (split_column is None) != (bounds is None):
+        raise ValueError("a split column and its bounds go together")
     reader = spark.read.format(fmt).options(**options).option("dbtable", table)
-    if split_column and bounds:
+    if split_column is not None:
         reader = (
             reader.option("partitionColumn", split_column)
             .option("lowerBound", bounds[0])

@@ -116,6 +116,32 @@ def test_forest_of_few_and_equal_rows(spark):
     assert anomaly.isolation_scores(same.limit(0), "id", ["a"], trees=5).count() == 0
 
 
+@pytest.mark.parametrize("sample, trees, rows", [(4, 40, 20_000), (256, 100, 20_000), (256, 20, 100)])
+def test_every_tree_draws_enough_rows(spark, sample, trees, rows):
+    df = spark.range(rows).select(F.col("id").alias("_key"), F.rand(3).alias("v"))
+    forest = anomaly.fit_forest(session.stage(df, "rows"), ["v"], trees, sample, 42)
+    sizes = [tree["rows"] for tree in forest]
+    rate = anomaly.draw_rate(sample, rows)
+    assert len(sizes) == trees and min(sizes) >= min(sample, rows)
+    assert abs(np.mean(sizes) - rate * rows) < 5 * (rate * rows / trees) ** 0.5 + 1e-9
+
+
+def test_draws_are_independent(spark):
+    """Rows drawn by two trees are as many as chance says."""
+    df = spark.range(40_000).select(F.col("id").alias("_key"))
+    drawn = anomaly.draw(df, 0.1, 12, 1).groupBy("_key").agg(F.count("*").alias("n"), F.countDistinct("tree").alias("d"))
+    assert drawn.where("n <> d").count() == 0
+    pairs = drawn.agg(F.sum(F.expr("n * (n - 1) / 2"))).first()[0]
+    assert abs(pairs / (40_000 * 66 * 0.01) - 1) < 0.05
+
+
+def test_a_missing_tree_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(anomaly, "draw_rate", lambda sample, rows: 1e-9)
+    df = spark.range(50).select(F.col("id").alias("_key"), F.rand(3).alias("v"))
+    with pytest.raises(RuntimeError, match="trees"):
+        anomaly.fit_forest(df, ["v"], 5, 4, 42)
+
+
 def test_isolation_depth():
     assert anomaly.average_path(1) == 0 and anomaly.average_path(2) == 1
     assert anomaly.average_path(256) == pytest.approx(10.24, abs=0.01)

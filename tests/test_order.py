@@ -192,3 +192,49 @@ def test_boxplot(make):
     box = quality.boxplot_stats(rows, "v").first()
     assert (box["q1"], box["median"], box["q3"]) == (3.0, 5.0, 7.0)
     assert (box["whisker_low"], box["whisker_high"], box["outliers"]) == (1.0, 8.0, 1)
+
+
+def test_identical_rows_spread_over_partitions(spark):
+    """Nine rows in ten are the same row."""
+    rows = spark.range(0, 20_000, 1, 8).select(F.when(F.col("id") % 10 == 0, F.col("id")).otherwise(7).alias("k"))
+    placed = ordered.in_global_order(
+        rows.withColumn("_tie", F.xxhash64("k")).withColumn("_at", F.monotonically_increasing_id()), ["k", "_tie", "_at"]
+    )
+    sizes = [r["count"] for r in placed.groupBy("_part").count().collect()]
+    assert len(sizes) >= 6 and max(sizes) < 2 * 20_000 / len(sizes)
+    numbers = sorted(r["n"] for r in ordered.row_numbers(rows, ["k"], "n").collect())
+    assert numbers == list(range(1, 20_001))
+
+
+@pytest.mark.parametrize("slack", [0.0, 1e-9, 2e-4, 1.0])
+def test_quantiles_when_a_bracket_misses(spark, slack):
+    """Brackets of no width miss ranks between two values, and are widened."""
+    rng = random.Random(3)
+    rows = [(rng.choice(["a", None]), rng.choice([1.0, rng.random()])) for _ in range(4000)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(7)
+    found = ordered.exact_quantiles(df, "v", [0.1, 0.5, 0.55], ["g"], slack=slack).collect()
+    got = {(r["g"], r["prob"]): r["quantile"] for r in found}
+    assert len(got) == 6
+    for (g, q), v in got.items():
+        assert v == pytest.approx(plain_quantile([x for k, x in rows if k == g], q))
+
+
+def test_quantiles_of_few_rows_and_null_groups(make):
+    df = make([("a", 1.0), (None, 5.0), (None, 7.0), ("b", None)], "g string, v double")
+    got = {r["g"]: r["quantile"] for r in ordered.exact_quantiles(df, "v", [0.5], ["g"]).collect()}
+    assert got == {"a": 1.0, None: 6.0}
+    assert ordered.exact_quantiles(df.where("v > 9"), "v", [0.5], ["g"]).collect() == []
+
+
+def test_quantiles_do_not_sort_the_table(spark):
+    df = spark.range(1000).select(F.col("id").cast("double").alias("v"))
+    for step in (ordered.exact_quantiles(df, "v", [0.5]), ordered._bracketed(df.withColumnRenamed("v", "_value"), [], [0.5], 0.01)):
+        assert "rangepartitioning" not in step._jdf.queryExecution().executedPlan().toString()
+    kept = ordered._bracketed(df.withColumnRenamed("v", "_value"), [], [0.5], 0.01)
+    assert kept.where("_value IS NOT NULL").count() < 50
+
+
+def test_rows_without_a_label_are_held_out_too(spark):
+    rows = spark.range(1000).withColumn("label", F.when(F.col("id") % 2 == 0, 1))
+    test = splits.stratified_split(rows, ["id"], "label").where("split = 'test'")
+    assert {r["label"]: r["count"] for r in test.groupBy("label").count().collect()} == {None: 100, 1: 100}

@@ -1,5 +1,6 @@
 """Files, tables, loads, cleaning and validation."""
 
+import hashlib
 import uuid
 from datetime import datetime
 
@@ -8,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from riskloom import session
-from riskloom.functions.prompts import plain_number
+from riskloom.functions.prompts import PROMPT, plain_number
 from riskloom.operators import clean, quality
 from riskloom.operators.prompts import risk_prompt
 from riskloom.schema import NAMESPACES, REGISTRY
@@ -144,3 +145,44 @@ def test_scratch_scope_removes_its_folder(spark, make):
 def test_stage_of_no_rows(spark, make):
     empty = session.stage(make([], "a int, t timestamp_ntz"), "empty")
     assert empty.count() == 0 and empty.dtypes == [("a", "int"), ("t", "timestamp_ntz")]
+
+
+def test_prompt_text_is_the_given_one():
+    assert hashlib.md5(PROMPT.encode()).hexdigest() == "f3fe9da4939b1dfcba7c30c8c19caac7"
+
+
+def test_own_times_are_kept(make):
+    raw = make([("1", "2", "2024-01-02 03:04:05"), ("3", "4", "soon"), ("5", "6", None)], "`Total Loan` string, `LCY Deposit` string, created_at string")
+    got = [str(r["created_at"]) for r in loads.finance_rows(raw, "2020-01-01 00:00:00").collect()]
+    assert got == ["2024-01-02 03:04:05", "2020-01-01 00:00:00", "2020-01-01 00:00:00"]
+
+
+def test_marketing_load_moves_no_rows(spark, tmp_path):
+    (tmp_path / "m.csv").write_text("duration;campaign;previous\n" + "1;1;0\n" * 50)
+    raw = spark.read.option("header", True).option("sep", ";").csv(str(tmp_path))
+    plan = loads.marketing_rows(raw, "2024-01-01 00:00:00")._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "SortMergeJoin" not in plan
+
+
+def test_split_column_needs_bounds(spark):
+    with pytest.raises(ValueError, match="bounds"):
+        tables.read_jdbc(spark, {}, "t", split_column="id")
+
+
+class _Cluster:
+    """A session whose master is no local one."""
+
+    def __init__(self, spark, folder):
+        self._jvm, self._jsc = spark._jvm, spark._jsc
+        self.sparkContext = type("C", (), {"master": "yarn", "applicationId": "a"})()
+        self._conf = {"spark.checkpoint.dir": folder}
+        self.conf = type("F", (), {"get": lambda _, key, default=None: self._conf.get(key, default)})()
+
+
+def test_a_folder_of_one_machine_is_refused_on_a_cluster(spark):
+    for folder in ("file:/tmp/x", "/tmp/x"):
+        with pytest.raises(RuntimeError, match="one machine"):
+            session.shared_folder(_Cluster(spark, folder))
+    mounted = _Cluster(spark, "file:/mnt/x/")
+    mounted._conf["spark.riskloom.sharedMount"] = "true"
+    assert session.shared_folder(mounted) == "file:/mnt/x"

@@ -1,11 +1,14 @@
 """Event ingest from files of JSON lines."""
 
 import json
+import uuid
 from datetime import datetime
 
 import pytest
 
 from riskloom import session
+from riskloom.plans import jobs
+from riskloom.schema import qualified
 from riskloom.streaming import events
 
 
@@ -51,3 +54,45 @@ def test_restart_adds_only_what_is_new(spark, tmp_path):
     assert [r["value"] for r in spark.read.parquet(bad).collect()] == ["{bad"]
     batch, _ = events.parse_events(spark.read.text(str(inbox)))
     assert batch.exceptAll(stored).count() == 0 and stored.exceptAll(batch).count() == 0
+
+
+STRANGE = [1e15, 1e30, 1704067200000, "NaN", -86400, 4102444800]
+
+
+def test_strange_times_are_rejected(make):
+    lines = [message(n, timestamp=t) for n, t in enumerate(STRANGE)]
+    good, rejects = events.parse_events(make([(t,) for t in [*lines, message(9, timestamp=0)]], "value string"))
+    assert [r["created_at"] for r in good.collect()] == [datetime(1970, 1, 1)]
+    assert sorted(r["value"] for r in rejects.collect()) == sorted(lines)
+
+
+def test_ingest_takes_every_message_once(spark, tmp_path):
+    """Good, broken and strange messages over two runs; the second batch is then run again."""
+    inbox, state = tmp_path / "inbox", str(tmp_path / "state")
+    inbox.mkdir()
+    cfg = jobs.IngestConfig(state, f"i{uuid.uuid4().hex[:8]}_", str(tmp_path / "tables"))
+
+    def run():
+        source = events.stream_source(spark, "text", path=str(inbox))
+        jobs.run_ingest(spark, source, cfg, once=True).awaitTermination()
+
+    def stored():
+        names = [qualified(t, cfg.prefix) for t in (cfg.transactions, cfg.rejects)]
+        for name in names:
+            spark.catalog.refreshTable(name)
+        good, bad = map(spark.table, names)
+        return sorted(int(r["customer_id"]) for r in good.collect()), sorted(r["value"] for r in bad.collect())
+
+    odd = [message(n, timestamp=t) for n, t in enumerate(STRANGE)]
+    (inbox / "a.json").write_text("\n".join([message(1), "{bad", *odd[:3]]) + "\n")
+    run()
+    (inbox / "b.json").write_text("\n".join([message(2), message(3, timestamp=90000), *odd[3:]]) + "\n")
+    run()
+    want = [1, 2, 3], sorted(["{bad", *odd])
+    assert stored() == want
+    # Without its commit the last batch counts as not done.
+    [(tmp_path / "state" / "commits" / name).unlink() for name in ("1", ".1.crc")]
+    run()
+    assert stored() == want
+    dates = spark.table(qualified(cfg.transactions, cfg.prefix)).select("event_date").distinct().count()
+    assert dates == 2
