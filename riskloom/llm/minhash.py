@@ -11,16 +11,16 @@ registers form bands, and documents that agree in a band are candidates.
    last, not with all others, and a pair is confirmed on the full sets if its
    corrected estimate does not rule it out.
 3. Links join into components. Buckets that still hold several components are
-   paired further, each member with one of the lowest and one of the highest
-   component; when that joins nothing more, the pairs left over in these buckets
-   are all compared, so that no link between candidates is lost.
+   paired further: documents with too many shingles that no other has are out,
+   the one with fewest is tried against the others, and when that joins nothing
+   more, the pairs left over in these buckets are all compared, so that no link
+   between candidates is lost.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
-from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -347,27 +347,92 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
     )
 
 
+def _mixed(rows: DataFrame) -> DataFrame:
+    """Rows (key, id, component) of the buckets that hold several components."""
+    ends = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return rows.join(ends.where("low <> high").select("key"), "key", "left_semi")
+
+
+def _tokens(sets: DataFrame, docs: DataFrame) -> DataFrame:
+    """(id, n, hash): every shingle of ``docs``, with the size of its set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = [np.frombuffer(h, "<i8") for h in batch.column("hashes").to_pylist()]
+            sizes = [len(p) for p in parts]
+            ids = np.repeat(batch.column("id").to_numpy(), sizes)
+            size = np.repeat(np.array(sizes, dtype=np.int64), sizes)
+            hashes = np.concatenate([*parts, np.zeros(0, "<i8")])
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(size), pa.array(hashes)], ["id", "n", "hash"])
+
+    wanted = sets.join(docs, "id", "left_semi").select("id", "hashes")
+    return wanted.mapInArrow(run, "id bigint, n bigint, hash bigint")
+
+
+def _able(mixed: DataFrame, tokens: DataFrame) -> DataFrame:
+    """Rows of ``mixed`` that may have a link to another component of their bucket, with (n, shared).
+
+    What two documents of different components have in common, other components
+    have in common too, and a link needs 85 / 185 of both sizes together. Documents
+    with too many shingles of their own leave, which may leave others with too
+    many; this goes on while it takes away one in twenty.
+    """
+    before = mixed.select("id").distinct().count()
+    while True:
+        held = tokens.join(mixed.select("id", "component").distinct(), "id")
+        met = held.groupBy("hash").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        met = met.where("low <> high").select("hash", F.lit(1).alias("met"))
+        mass = held.join(met, "hash", "left").groupBy("id").agg(F.max("n").alias("n"), F.count("met").alias("shared"))
+        rows = mixed.select("key", "id", "component").join(mass, "id")
+        least = rows.groupBy("key").agg(F.min("n").alias("least"))
+        partner = F.greatest(F.col("least"), F.ceil(F.col("n") * LINK_PERCENT / 100))
+        able = (100 + LINK_PERCENT) * F.col("shared") >= LINK_PERCENT * (F.col("n") + partner)
+        mixed = stage(_mixed(rows.join(least, "key").where(able).drop("least")), "able")
+        now = mixed.select("id").distinct().count()
+        if now >= 0.95 * before:
+            return mixed
+        before = now
+
+
 def _joined_further(members: DataFrame, tried: DataFrame, links: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links between members of one bucket that its first and last did not bring together."""
+    """Links between members of one bucket that its first and last did not bring together.
+
+    Of the documents that may have further links, the one with fewest shingles
+    of its own in a bucket, such as the original of many copies, is tried against
+    those of other components; when that joins nothing more, all pairs left over are.
+    """
+    every, tokens = members.where("n > 2").select("key", "id"), None
     while True:
-        found = components(links)
-        named = members.where("n > 2").select("key", "id").join(found, "id", "left")
-        named = named.withColumn("component", F.coalesce("component", "id"))
-        mixed = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        mixed = stage(named.join(mixed.where("low <> high"), "key"), "mixed")
-        place = F.struct("component", "id")
-        ends = mixed.groupBy("key").agg(F.array(F.min(place), F.max(place)).alias("ends"))
-        star = mixed.join(ends, "key").select("id", "component", F.explode("ends").alias("end"))
-        star = star.where("component <> end.component").select(*_ordered(F.col("id"), F.col("end.id")))
-        star = stage(star.distinct().join(tried, ["a", "b"], "left_anti"), "star")
+        named = every.join(components(links), "id", "left")
+        named = _mixed(named.withColumn("component", F.coalesce("component", "id")))
+        if tokens is None:
+            named = stage(named, "mixed")
+            every = named.select("key", "id")
+            tokens = stage(_tokens(sets, every.select("id").distinct()), "tokens")
+        mixed = _able(named, tokens)
+        share = F.col("shared") / F.col("n")
+        best = mixed.groupBy("key").agg(F.max(F.struct(share, -F.col("id"), "component", "id")).alias("best"))
+        star = mixed.join(best, "key").where("component <> best.component")
+        star = star.select(*_ordered(F.col("id"), F.col("best.id"))).distinct()
+        star = stage(star.join(tried, ["a", "b"], "left_anti"), "star")
         more = stage(confirm(star, sets), "confirmed")
         tried = tried.unionByName(star)
         if more.limit(1).count():
             links = links.unionByName(more)
             continue
-        other = mixed.select("key", F.col("id").alias("b"), F.col("component").alias("theirs"))
-        left = mixed.select("key", F.col("id").alias("a"), "component").join(other, "key")
-        left = left.where("a < b AND component <> theirs").select("a", "b").distinct()
+        # A pair is met in the first bucket the two share only; an id has at most BANDS keys.
+        keys = mixed.groupBy("id").agg(F.collect_set("key").alias("keys"))
+        whole = mixed.join(keys, "id")
+        one, two = (
+            whole.select("key", *(F.col(c).alias(c + x) for c in ("id", "component", "n", "shared", "keys")))
+            for x in "ab"
+        )
+        apart = (F.col("ida") < F.col("idb")) & (F.col("componenta") != F.col("componentb"))
+        enough = (100 + LINK_PERCENT) * F.least("shareda", "sharedb") >= LINK_PERCENT * (F.col("na") + F.col("nb"))
+        near = 100 * F.least("na", "nb") >= LINK_PERCENT * F.greatest("na", "nb")
+        first = F.col("key") == F.array_min(F.array_intersect("keysa", "keysb"))
+        left = one.join(two, "key").where(apart & enough & near & first)
+        left = left.select(F.col("ida").alias("a"), F.col("idb").alias("b"))
         left = left.join(tried, ["a", "b"], "left_anti")
         return links.unionByName(stage(confirm(left, sets), "confirmed"))
 
