@@ -152,7 +152,7 @@ def exact_quantiles(
         wanted = stage(_wanted(placed.groupBy(*bins).agg(F.sum("_n").alias("_rows")), groups, probs, interpolate), "wanted")
         if slack >= 1 or not wanted.where("_bin < 0").limit(1).count():
             break
-        slack = min(1.0, slack * 16)
+        slack = min(1.0, 16 * max(slack, 1.0 / _ACCURACY))
     upto = Window.partitionBy(*bins).orderBy("_value").rowsBetween(*_BEFORE)
     near = placed.join(wanted, _same(placed, wanted, bins), "left_semi")
     near = near.withColumn("_below", F.coalesce(F.sum("_n").over(upto), F.lit(0)))
