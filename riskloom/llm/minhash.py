@@ -252,29 +252,37 @@ def full_sets(documents: DataFrame, key: str, text: str, wanted: DataFrame) -> D
     return narrow.join(wanted, "id", "left_semi").mapInArrow(run, "id bigint, registers binary, hashes binary")
 
 
+def _both(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
+    """Pairs (a, b) with ``column`` of either document as x and y."""
+    one = sets.select(F.col("id").alias("a"), F.col(column).alias("x"))
+    two = sets.select(F.col("id").alias("b"), F.col(column).alias("y"))
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y")
+
+
 def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough."""
+    """The pairs (a, b) whose full sets are similar enough.
+
+    The estimate needs the registers alone; full sets travel for the pairs it leaves.
+    """
     floor = LINK_PERCENT / 100 - ESTIMATE_SLACK
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("ra", "rb")]
-            near = [np.frombuffer(b"".join(c), "<u2").reshape(-1, REGISTERS) for c in columns]
-            good = estimate(*near) >= floor
-            left, right = batch.column("ha"), batch.column("hb")
-            for row in np.flatnonzero(good).tolist():
-                x = np.frombuffer(left[row].as_buffer(), "<u8")
-                y = np.frombuffer(right[row].as_buffer(), "<u8")
+            sides = [np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(-1, REGISTERS) for c in "xy"]
+            yield batch.filter(pa.array(estimate(*sides) >= floor)).select(["a", "b"])
+
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = []
+            for left, right in zip(batch.column("x"), batch.column("y")):
+                x, y = (np.frombuffer(side.as_buffer(), "<u8") for side in (left, right))
                 shared = len(x) + len(y) - len(np.union1d(x, y))
-                good[row] = 100 * shared >= LINK_PERCENT * (len(x) + len(y) - shared)
-            keep = pa.array(good)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"]
-            )
+                good.append(100 * shared >= LINK_PERCENT * (len(x) + len(y) - shared))
+            yield batch.filter(pa.array(good, pa.bool_())).select(["a", "b"])
 
-    one = sets.select(F.col("id").alias("a"), F.col("registers").alias("ra"), F.col("hashes").alias("ha"))
-    two = sets.select(F.col("id").alias("b"), F.col("registers").alias("rb"), F.col("hashes").alias("hb"))
-    return pairs.join(one, "a").join(two, "b").mapInArrow(run, "a bigint, b bigint")
+    near = _both(pairs, sets, "registers").mapInArrow(likely, "a bigint, b bigint")
+    near = stage(near.distinct(), "likely")
+    return _both(near, sets, "hashes").mapInArrow(linked, "a bigint, b bigint")
 
 
 def _ordered(one: Column, two: Column) -> list[Column]:
