@@ -165,4 +165,5 @@ def document_token_counts(spark: SparkSession, path: str, key: str = "doc_id") -
     file = F.element_at(F.split("path", "/"), -1)
     counts = count_tokens(spark, f"{path}/kind=tokens").withColumn("_file", file).drop("path")
     keys = document_order(spark, path, key).withColumn("_file", file).drop("path")
-    return keys.join(counts, ["_file", "ordinal"]).select(key, "n_tokens")
+    # Both sides grow with the data, however well their shuffle files compress.
+    return keys.hint("merge").join(counts, ["_file", "ordinal"]).select(key, "n_tokens")
