@@ -49,6 +49,10 @@ MANTISSA = 10
 #: compared in full: six standard deviations of the estimate at the threshold.
 ESTIMATE_SLACK = 0.14
 
+#: Up to this many ids (8 MB) go to every task to pick their rows; rows of more
+#: ids are met by a shuffle.
+FEW_IDS = 1_000_000
+
 _MASK = 0xFFFFFFFFFFFFFFFF
 
 
@@ -229,6 +233,11 @@ def band_rows(reps: DataFrame) -> DataFrame:
     return reps.select("id", "bands").mapInArrow(run, "key bigint, id bigint")
 
 
+def _only(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows whose id is one of ``ids``, a staged table of distinct ids."""
+    return rows.join(F.broadcast(ids) if ids.count() <= FEW_IDS else ids, "id", "left_semi")
+
+
 def full_sets(documents: DataFrame, key: str, text: str, wanted: DataFrame) -> DataFrame:
     """(id, registers, hashes) of the wanted ids, hashes ascending."""
 
@@ -249,7 +258,7 @@ def full_sets(documents: DataFrame, key: str, text: str, wanted: DataFrame) -> D
 
     narrow = documents.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     # Rows that repeat an id are all compared, as one document with several texts.
-    return narrow.join(wanted, "id", "left_semi").mapInArrow(run, "id bigint, registers binary, hashes binary")
+    return _only(narrow, wanted).mapInArrow(run, "id bigint, registers binary, hashes binary")
 
 
 def _both(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
@@ -282,6 +291,10 @@ def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     near = _both(pairs, sets, "registers").mapInArrow(likely, "a bigint, b bigint")
     near = stage(near.distinct(), "likely")
+    if near.count() <= FEW_IDS // 2:
+        # Few pairs: only the sets they name travel.
+        named = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        sets = _only(sets, stage(named, "named"))
     return _both(near, sets, "hashes").mapInArrow(linked, "a bigint, b bigint")
 
 
@@ -341,7 +354,7 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
     shared = bands.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count("*").alias("n"))
     members = stage(bands.join(shared.where("first <> last"), "key"), "members")
     pairs = stage(_pairs(members, "first", "last"), "pairs")
-    wanted = members.select("id").distinct()
+    wanted = stage(members.select("id").distinct(), "wanted")
     sets = stage(full_sets(documents, key, text, wanted), "sets")
     links = stage(confirm(pairs, sets), "confirmed")
     links = _joined_further(members, pairs, links, sets)

@@ -66,6 +66,12 @@ def test_classes_equal_all_pairs(documents, seed):
     assert sorted(map(tuple, got.collect())) == by_hand(rows)
 
 
+def test_classes_without_broadcast_ids(documents, monkeypatch):
+    monkeypatch.setattr(minhash, "FEW_IDS", 0)
+    rows = corpus(3)
+    assert sorted(map(tuple, minhash.near_duplicates(documents(rows)).collect())) == by_hand(rows)
+
+
 def test_large_group_of_borderline_copies(documents):
     """Many texts with a common passage, of which few reach the threshold with any one."""
     rng = random.Random(5)
