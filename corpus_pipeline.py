@@ -16,6 +16,10 @@ from riskloom.llm.common import table
 from riskloom.session import stage
 
 
+#: Documents whose shingle sets overlap by this percentage are near copies.
+NEAR_PERCENT = 80
+
+
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, learned from those among them with labels, scores below one half."""
     return toxicity.without_toxic(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
@@ -28,7 +32,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest id of each group of near copies."""
-    return minhash.without_near_copies(docs)
+    return minhash.without_near_copies(docs, percent=NEAR_PERCENT)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

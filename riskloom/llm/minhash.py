@@ -33,21 +33,20 @@ from .common import bounded_batches
 
 SHINGLE_WORDS = 5
 
-#: A link needs 100 * intersection >= LINK_PERCENT * union.
+#: A link needs 100 * intersection >= percent * union; this is the percentage of the query.
 LINK_PERCENT = 85
 
-#: Registers of a signature, in bands of ROWS: a pair at the threshold escapes
-#: all bands with a chance of (1 - 0.85 ** ROWS) ** BANDS, about 2e-9.
+#: Registers of a signature, dealt into bands of as many rows as let a pair at
+#: the threshold escape all bands with at most this chance.
 REGISTERS = 256
-ROWS = 6
-BANDS = 42
+ESCAPE = 3e-9
 
 #: A register: 6 bits of leading zeros, then this many bits of mantissa.
 MANTISSA = 10
 
-#: Candidates whose estimate lies this far below the threshold are not
-#: compared in full: six standard deviations of the estimate at the threshold.
-ESTIMATE_SLACK = 0.14
+#: Candidates whose estimate lies this many of its standard deviations at the
+#: threshold below it are not compared in full.
+ESTIMATE_DEVIATIONS = 6.3
 
 #: Up to this many ids (8 MB) go to every task to pick their rows; rows of more
 #: ids are met by a shuffle.
@@ -132,10 +131,21 @@ def _fill_rank() -> np.ndarray:
     return np.argsort(_fill_order(), axis=1)
 
 
-@lru_cache(maxsize=1)
-def _band_order() -> np.ndarray:
+@lru_cache
+def banding(percent: int) -> tuple[int, int]:
+    """(rows, bands): the longest bands that a pair at ``percent`` escapes with a chance of ESCAPE at most."""
+    for rows in range(REGISTERS, 0, -1):
+        bands = REGISTERS // rows
+        if (1 - (percent / 100) ** rows) ** bands <= ESCAPE:
+            return rows, bands
+    raise ValueError(f"{REGISTERS} registers do not find pairs at {percent} %")
+
+
+@lru_cache
+def _band_order(percent: int) -> np.ndarray:
+    rows, bands = banding(percent)
     keys = mix(np.arange(REGISTERS, dtype=np.uint64) + np.uint64(1 << 20))
-    return np.argsort(keys)[: ROWS * BANDS].reshape(BANDS, ROWS)
+    return np.argsort(keys)[: rows * bands].reshape(bands, rows)
 
 
 def signatures(sets: list[np.ndarray]) -> np.ndarray:
@@ -178,11 +188,11 @@ def _fill(registers: np.ndarray, full: np.ndarray) -> np.ndarray:
     return out
 
 
-def band_keys(registers: np.ndarray) -> np.ndarray:
+def band_keys(registers: np.ndarray, percent: int) -> np.ndarray:
     """A 64-bit key for each band of each signature."""
-    picked = registers[:, _band_order()].astype(np.uint64)
-    out = np.broadcast_to(np.arange(BANDS, dtype=np.uint64) + np.uint64(1), picked.shape[:2])
-    for row in range(ROWS):
+    picked = registers[:, _band_order(percent)].astype(np.uint64)
+    out = np.broadcast_to(np.arange(picked.shape[1], dtype=np.uint64) + np.uint64(1), picked.shape[:2])
+    for row in range(picked.shape[2]):
         out = mix(out ^ (picked[:, :, row] << np.uint64(16)) + np.uint64(row))
     return out
 
@@ -198,7 +208,7 @@ def estimate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.clip((agree - chance) / (1 - chance), 0, 1)
 
 
-def profiles(documents: DataFrame, key: str, text: str) -> DataFrame:
+def profiles(documents: DataFrame, key: str, text: str, percent: int) -> DataFrame:
     """(id, n_shingles, print, bands): the set's size, 128-bit fingerprint and band keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,7 +216,7 @@ def profiles(documents: DataFrame, key: str, text: str) -> DataFrame:
             texts = [(t or "").encode() for t in batch.column("text").to_pylist()]
             sets = shingle_sets(texts)
             some = [s for s in sets if len(s)]
-            keys = iter(band_keys(signatures(some)).astype("<u8") if some else ())
+            keys = iter(band_keys(signatures(some), percent).astype("<u8") if some else ())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id"),
@@ -221,13 +231,14 @@ def profiles(documents: DataFrame, key: str, text: str) -> DataFrame:
     return narrow.mapInArrow(run, "id bigint, n_shingles bigint, print binary, bands binary")
 
 
-def band_rows(reps: DataFrame) -> DataFrame:
+def band_rows(reps: DataFrame, percent: int) -> DataFrame:
     """(key, id): one row per band."""
+    bands = banding(percent)[1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = np.frombuffer(b"".join(batch.column("bands").to_pylist()), "<i8")
-            ids = np.repeat(batch.column("id").to_numpy(), BANDS)
+            ids = np.repeat(batch.column("id").to_numpy(), bands)
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(ids)], ["key", "id"])
 
     return reps.select("id", "bands").mapInArrow(run, "key bigint, id bigint")
@@ -268,12 +279,13 @@ def _both(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y")
 
 
-def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough.
 
     The estimate needs the registers alone; full sets travel for the pairs it leaves.
     """
-    floor = LINK_PERCENT / 100 - ESTIMATE_SLACK
+    share = percent / 100
+    floor = share - ESTIMATE_DEVIATIONS * (share * (1 - share) / REGISTERS) ** 0.5
 
     def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -286,7 +298,7 @@ def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             for left, right in zip(batch.column("x"), batch.column("y")):
                 x, y = (np.frombuffer(side.as_buffer(), "<u8") for side in (left, right))
                 shared = len(x) + len(y) - len(np.union1d(x, y))
-                good.append(100 * shared >= LINK_PERCENT * (len(x) + len(y) - shared))
+                good.append(100 * shared >= percent * (len(x) + len(y) - shared))
             yield batch.filter(pa.array(good, pa.bool_())).select(["a", "b"])
 
     near = _both(pairs, sets, "registers").mapInArrow(likely, "a bigint, b bigint")
@@ -332,32 +344,34 @@ def _pairs(rows: DataFrame, *partners: str) -> DataFrame:
     return met.select(*_ordered(F.col("id"), F.col("other"))).distinct()
 
 
-def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(
+    documents: DataFrame, key: str = "doc_id", text: str = "text", percent: int = LINK_PERCENT
+) -> DataFrame:
     """Near-duplicate classes: (key, n_shingles, component_id, kept), a row per row.
 
     Documents are linked when their sets of five-word shingles, A-Z in lower
-    case, overlap by 85 % of their union; ``component_id`` is the smallest key
+    case, overlap by ``percent`` of their union; ``component_id`` is the smallest key
     reachable. A null or empty text, or one without words, has no shingles and
     is linked with nothing. A null key stays on its own. An empty table gives no
     rows. Rows that repeat a key count once in each class and share its result.
     """
     spark = documents.sparkSession
     bounded_batches(spark)
-    every = stage(profiles(documents, key, text), "profiles")
+    every = stage(profiles(documents, key, text, percent), "profiles")
     known = every.where("n_shingles > 0 AND id IS NOT NULL")
     classes = known.groupBy("print").agg(F.min("id").alias("rep"), F.count("*").alias("n")).where("n > 1")
     copies = known.select("id", "print").join(classes, "print").where("id <> rep").select("id", "print", "rep")
     copies = stage(copies.distinct(), "copies")
     # By print too: a key that repeats with another text goes on with that one.
     reps = known.join(copies, ["id", "print"], "left_anti")
-    bands = band_rows(reps)
+    bands = band_rows(reps, percent)
     shared = bands.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count("*").alias("n"))
     members = stage(bands.join(shared.where("first <> last"), "key"), "members")
     pairs = stage(_pairs(members, "first", "last"), "pairs")
     wanted = stage(members.select("id").distinct(), "wanted")
     sets = stage(full_sets(documents, key, text, wanted), "sets")
-    links = stage(confirm(pairs, sets), "confirmed")
-    links = _joined_further(members, pairs, links, sets)
+    links = stage(confirm(pairs, sets, percent), "confirmed")
+    links = _joined_further(members, pairs, links, sets, percent)
     every_link = links.unionByName(copies.select(F.col("rep").alias("a"), F.col("id").alias("b")))
     found = stage(components(every_link), "components")
     return (
@@ -390,11 +404,11 @@ def _tokens(sets: DataFrame, docs: DataFrame) -> DataFrame:
     return wanted.mapInArrow(run, "id bigint, n bigint, hash bigint")
 
 
-def _able(mixed: DataFrame, tokens: DataFrame) -> DataFrame:
+def _able(mixed: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
     """Rows of ``mixed`` that may have a link to another component of their bucket, with (n, shared).
 
     What two documents of different components have in common, other components
-    have in common too, and a link needs 85 / 185 of both sizes together. Documents
+    have in common too, and a link needs percent / (100 + percent) of both sizes together. Documents
     with too many shingles of their own leave, which may leave others with too
     many; this goes on while it takes away one in twenty.
     """
@@ -406,8 +420,8 @@ def _able(mixed: DataFrame, tokens: DataFrame) -> DataFrame:
         mass = held.join(met, "hash", "left").groupBy("id").agg(F.max("n").alias("n"), F.count("met").alias("shared"))
         rows = mixed.select("key", "id", "component").join(mass, "id")
         least = rows.groupBy("key").agg(F.min("n").alias("least"))
-        partner = F.greatest(F.col("least"), F.ceil(F.col("n") * LINK_PERCENT / 100))
-        able = (100 + LINK_PERCENT) * F.col("shared") >= LINK_PERCENT * (F.col("n") + partner)
+        partner = F.greatest(F.col("least"), F.ceil(F.col("n") * percent / 100))
+        able = (100 + percent) * F.col("shared") >= percent * (F.col("n") + partner)
         mixed = stage(_mixed(rows.join(least, "key").where(able).drop("least")), "able")
         now = mixed.select("id").distinct().count()
         if now >= 0.95 * before:
@@ -415,7 +429,9 @@ def _able(mixed: DataFrame, tokens: DataFrame) -> DataFrame:
         before = now
 
 
-def _joined_further(members: DataFrame, tried: DataFrame, links: DataFrame, sets: DataFrame) -> DataFrame:
+def _joined_further(
+    members: DataFrame, tried: DataFrame, links: DataFrame, sets: DataFrame, percent: int
+) -> DataFrame:
     """Links between members of one bucket that its first and last did not bring together.
 
     Of the documents that may have further links, the one with fewest shingles
@@ -430,18 +446,18 @@ def _joined_further(members: DataFrame, tried: DataFrame, links: DataFrame, sets
             named = stage(named, "mixed")
             every = named.select("key", "id")
             tokens = stage(_tokens(sets, every.select("id").distinct()), "tokens")
-        mixed = _able(named, tokens)
+        mixed = _able(named, tokens, percent)
         share = F.col("shared") / F.col("n")
         best = mixed.groupBy("key").agg(F.max(F.struct(share, -F.col("id"), "component", "id")).alias("best"))
         star = mixed.join(best, "key").where("component <> best.component")
         star = star.select(*_ordered(F.col("id"), F.col("best.id"))).distinct()
         star = stage(star.join(tried, ["a", "b"], "left_anti"), "star")
-        more = stage(confirm(star, sets), "confirmed")
+        more = stage(confirm(star, sets, percent), "confirmed")
         tried = tried.unionByName(star)
         if more.limit(1).count():
             links = links.unionByName(more)
             continue
-        # A pair is met in the first bucket the two share only; an id has at most BANDS keys.
+        # A pair is met in the first bucket the two share only; an id has as many keys as there are bands at most.
         keys = mixed.groupBy("id").agg(F.collect_set("key").alias("keys"))
         whole = mixed.join(keys, "id")
         one, two = (
@@ -449,17 +465,19 @@ def _joined_further(members: DataFrame, tried: DataFrame, links: DataFrame, sets
             for x in "ab"
         )
         apart = (F.col("ida") < F.col("idb")) & (F.col("componenta") != F.col("componentb"))
-        enough = (100 + LINK_PERCENT) * F.least("shareda", "sharedb") >= LINK_PERCENT * (F.col("na") + F.col("nb"))
-        near = 100 * F.least("na", "nb") >= LINK_PERCENT * F.greatest("na", "nb")
+        enough = (100 + percent) * F.least("shareda", "sharedb") >= percent * (F.col("na") + F.col("nb"))
+        near = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
         first = F.col("key") == F.array_min(F.array_intersect("keysa", "keysb"))
         left = one.join(two, "key").where(apart & enough & near & first)
         left = left.select(F.col("ida").alias("a"), F.col("idb").alias("b"))
         left = left.join(tried, ["a", "b"], "left_anti")
-        return links.unionByName(stage(confirm(left, sets), "confirmed"))
+        return links.unionByName(stage(confirm(left, sets, percent), "confirmed"))
 
 
-def without_near_copies(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def without_near_copies(
+    documents: DataFrame, key: str = "doc_id", text: str = "text", percent: int = LINK_PERCENT
+) -> DataFrame:
     """One document of each near-duplicate class, with all its columns."""
-    gone = near_duplicates(documents, key, text).where("NOT kept").select(F.col(key).alias("gone")).distinct()
+    gone = near_duplicates(documents, key, text, percent).where("NOT kept").select(F.col(key).alias("gone")).distinct()
     rows = documents.select(F.struct("*").alias("whole"), F.col(key).cast("long").alias("mine"))
     return rows.join(gone, rows["mine"] == gone["gone"], "left_anti").select("whole.*")

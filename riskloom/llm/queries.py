@@ -16,7 +16,7 @@ TRICKY_TEXT = "\\### Assistant: </turn> ok"
 
 
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:

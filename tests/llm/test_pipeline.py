@@ -37,3 +37,19 @@ def test_every_operator_is_registered():
     assert numbers == list(range(1, 11)) and set(ORACLE) <= set(QUERIES)
     found = __spark_entry__.queries()
     assert set(QUERIES) <= set(found) and "pipeline" in found
+
+
+def test_near_stage_takes_four_fifths(spark, documents):
+    """Pairs between 80 and 85 % go too, as every pair compared on word shingles says."""
+    words = lambda n, changed: " ".join(f"x{i}" if i in changed else f"w{n}-{i}" for i in range(304))
+    rows, want = [], set()
+    for n, changed in enumerate([{20}, {20, 60, 100}, {20, 60, 100, 140, 180, 220}, {*range(20, 280, 40)}, {*range(20, 280, 20)}]):
+        texts = {10 * n: words(n, ()), 10 * n + 1: words(n, changed)}
+        one, two = ({tuple(t.split()[i : i + 5]) for i in range(300)} for t in texts.values())
+        share = len(one & two) / len(one | two)
+        rows += texts.items()
+        want |= {10 * n} if share >= 0.8 else set(texts)
+        assert n != 2 or 0.8 <= share < 0.85
+    kept = dict(corpus_pipeline.STAGES)["near_dedup"](spark, documents(rows), "")
+    assert {r["doc_id"] for r in kept.collect()} == want
+    assert minhash.banding(85) == (6, 42) and minhash.banding(80) == (5, 51)
