@@ -81,3 +81,31 @@ def test_odd_rows(documents, odd_rows):
     assert (row["n_assign"], row["n_access"], row["n_hex"]) == (1, 1, 0)
     assert row["base"] == row["spans"] == "assign:0:23,access:28:50"
     assert secret_scan.find_secrets(documents([])).collect() == []
+
+
+def wrapped(data, width, indent=""):
+    run = b64(data)
+    return f"\n{indent}".join(run[n : n + width] for n in range(0, len(run), width))
+
+
+NOISE = bytes(range(256)) * 3
+
+
+@pytest.mark.parametrize(
+    "data",
+    [
+        gzip.compress(gzip.compress(SECRET.encode())),
+        zlib.compress(gzip.compress(zlib.compress(SECRET.encode()))),
+        gzip.compress(b"nothing here") + gzip.compress(SECRET.encode()),
+        gzip.compress(SECRET.encode()[:15]) + gzip.compress(SECRET.encode()[15:]),
+        SECRET.encode() + b"\0",
+        b"\x1b[0m\f" + SECRET.encode() + "é".encode("latin-1"),
+        SECRET.encode("utf-16"),
+        SECRET.encode("utf-16-be"),
+        gzip.compress(NOISE + SECRET.encode("utf-16-le")),
+        gzip.compress(SECRET.encode())[:-8] + b"damaged!",
+    ],
+)
+def test_layers_that_are_not_all_text(data):
+    run = b64(data)
+    assert {Span("assign", 2, 2 + len(run)), Span("access", 2, 2 + len(run))} <= set(scan(f"x {run} y")[1])
