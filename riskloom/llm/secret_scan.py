@@ -108,6 +108,22 @@ def _base64_runs(text: str) -> Iterator[tuple[int, int, str]]:
     """Runs of base64 and groups of them on lines that follow each other: (start, end, run without breaks)."""
     for m in _BASE64.finditer(text):
         yield *m.span(), m[0]
+    for m in _WRAPPED.finditer(text):
+        group: list[re.Match] = []
+        width = 0
+        for line in _LINE.finditer(text, *m.span()):
+            size = len(line[0])
+            if len(group) > 2 and size > width:
+                yield group[0].start(), group[-1].end(), "".join(g[0] for g in group)
+                group = []
+            group.append(line)
+            # A shorter line than the one before is the last, unless the first was short itself.
+            if len(group) > 1 and (size < width or line[0][-1] == "="):
+                yield group[0].start(), group[-1].end(), "".join(g[0] for g in group)
+                group = []
+            width = size
+        if len(group) > 1:
+            yield group[0].start(), group[-1].end(), "".join(g[0] for g in group)
 
 
 def decoded_runs(text: str) -> Iterator[tuple[int, int, bytes]]:
@@ -128,7 +144,8 @@ def decoded_runs(text: str) -> Iterator[tuple[int, int, bytes]]:
             part = body[skip : len(body) - ((len(body) - skip) % 4 == 1)]
             data = base64.b64decode(part + "=" * (-len(part) % 4))
             yield start, end, data
-            break
+            if _is_text(data):
+                break
 
 
 class _Stream:

@@ -109,3 +109,20 @@ NOISE = bytes(range(256)) * 3
 def test_layers_that_are_not_all_text(data):
     run = b64(data)
     assert {Span("assign", 2, 2 + len(run)), Span("access", 2, 2 + len(run))} <= set(scan(f"x {run} y")[1])
+
+
+@pytest.mark.parametrize("width", [64, 76])
+@pytest.mark.parametrize("indent", ["", "    "])
+@pytest.mark.parametrize("pack", [gzip.compress, lambda s: s])
+def test_base64_over_several_lines(width, indent, pack):
+    noise = "".join(chr(33 + n * n * 7 % 61) for n in range(400))
+    run = wrapped(pack(f"{noise} {SECRET} {noise}".encode()), width, indent)
+    every = set(scan(f"-----BEGIN X-----\n{run}\n-----END X-----")[1])
+    assert {Span("assign", 18, 18 + len(run)), Span("access", 18, 18 + len(run))} <= every
+
+
+@pytest.mark.parametrize("before", ["https://host/path/", "https://host/a-b_c/", "x/", "key_", "id1-", "w"])
+@pytest.mark.parametrize("pack", [gzip.compress, lambda s: s])
+def test_base64_behind_other_characters(before, pack):
+    found = {s.kind for s in scan(f"see {before}{b64(pack(SECRET.encode()))}")[1]}
+    assert {"assign", "access"} <= found
