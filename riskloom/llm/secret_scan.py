@@ -196,8 +196,6 @@ class _Stream:
         self.total += len(out)
         if self.total > MAX_EXPANSION:
             self.scan.found.add(Span("bomb", *self.place))
-            del self.held[MAX_EXPANSION:]
-            return
         while len(self.held) >= WINDOW:
             self._window()
 

@@ -126,3 +126,18 @@ def test_base64_over_several_lines(width, indent, pack):
 def test_base64_behind_other_characters(before, pack):
     found = {s.kind for s in scan(f"see {before}{b64(pack(SECRET.encode()))}")[1]}
     assert {"assign", "access"} <= found
+
+
+@pytest.mark.parametrize("pack", [lambda s: s, gzip.compress, lambda s: gzip.compress(gzip.compress(s))])
+def test_nothing_is_lost_behind_much_else(monkeypatch, pack):
+    for name, size in (("MAX_EXPANSION", 1000), ("WINDOW", 4096), ("CARRY", 128)):
+        monkeypatch.setattr(secret_scan, name, size, raising=False)
+    for n in range(0, 130, 13):
+        inner = pack(b"line of a log\n" * 3000 + b"." * n + SECRET.encode() + b"\nline" * 3000)
+        run = b64(gzip.compress(b"head " * 2000 + inner))
+        assert {Span(k, 0, len(run)) for k in ("assign", "access", "bomb")} <= set(scan(run)[1])
+
+
+def test_a_secret_behind_the_expansion_limit():
+    run = b64(zlib.compress(b"a line of some log\n" * (20 << 20 >> 4) + SECRET.encode()))
+    assert Span("assign", 0, len(run)) in scan(run)[1]
