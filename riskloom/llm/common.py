@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,3 +40,34 @@ def bounded_batches(spark: SparkSession) -> None:
         ("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES)),
     ):
         spark.conf.set(name, value)
+
+
+def runs(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[tuple[tuple[int, ...], pa.RecordBatch]]:
+    """Slices of sorted batches between changes of whole-number ``keys``, each with its key.
+
+    A key whose rows lie in several batches comes in several slices on end.
+    """
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy() for k in keys]
+        new = np.zeros(batch.num_rows, dtype=bool)
+        new[0] = True
+        for column in columns:
+            new[1:] |= column[1:] != column[:-1]
+        starts = np.flatnonzero(new).tolist()
+        for start, end in zip(starts, [*starts[1:], batch.num_rows]):
+            yield tuple(int(c[start]) for c in columns), batch.slice(start, end - start)
+
+
+def matrix(vectors: pa.Array, dtype: type = np.float64) -> np.ndarray:
+    """An array of rows from lists of one length."""
+    flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(dtype)
+    return flat.reshape(len(vectors), -1) if len(vectors) else flat.reshape(0, 0)
+
+
+def finite(vector: str) -> Column:
+    """Whether a vector is there, has components and all of them are finite numbers."""
+    numbers = F.col(vector).cast("array<double>")
+    each = F.forall(numbers, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
+    return F.coalesce(each & (F.size(numbers) > 0), F.lit(False))

@@ -8,7 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path, stage
-from . import bpe, chat, decontam, exact, minhash, pii, records, secret_scan, token_counts, toxicity
+from . import (
+    bpe,
+    chat,
+    decontam,
+    exact,
+    lexical,
+    minhash,
+    neighbours,
+    pii,
+    records,
+    secret_scan,
+    token_counts,
+    toxicity,
+    vector_codes,
+)
 from .common import table
 
 # A conversation that holds a template's control strings.
@@ -73,6 +87,22 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.document_token_counts(spark, path)
 
 
+def op11_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, vectors.where("vec_id % 100 = 0"), k=10, factor=1.0)
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, codebooks = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    named = vector_codes.with_label_error(coded).select("vec_id", "code", "error", "label_error")
+    return named.withColumn("codebooks_sha256", F.lit(vector_codes.codebooks_digest(codebooks)))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = stage(lexical.build_index(table(spark, sf_dir, "documents")), "lexical-index")
+    return lexical.search(index, table(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_chat_formatting": op2_chat_formatting,
@@ -84,6 +114,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_decontamination": op9_decontamination,
     "op10_token_counts": op10_token_counts,
+    "op11_nearest_neighbours": op11_nearest_neighbours,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 _CHAT_SQL = r"""
@@ -198,7 +231,91 @@ WITH items AS (
 SELECT * FROM verified WHERE question_overlap >= 0.5 AND answer_overlap >= 0.5
 """
 
+_NEAREST_SQL = r"""
+WITH vectors AS (
+  SELECT vec_id, embedding FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), asked AS (
+  SELECT DISTINCT vec_id AS query_id, embedding AS q FROM vectors WHERE vec_id % 100 = 0
+), pairs AS (
+  SELECT query_id, vec_id, sqrt(list_reduce(list_prepend(0::DOUBLE, list_transform(range(1, len(q) + 1),
+    lambda i: (q[i]::DOUBLE - embedding[i]::DOUBLE) * (q[i]::DOUBLE - embedding[i]::DOUBLE))), lambda x, y: x + y)) AS score
+  FROM asked JOIN vectors ON vec_id <> query_id AND len(q) = len(embedding)
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM pairs QUALIFY rank <= 10
+"""
+
+
+def _codes_sql() -> str:
+    """Lloyd's rounds that compare every part with every entry."""
+    steps = []
+    for step in range(vector_codes.ROUNDS + 1):
+        steps.append(f"""
+a{step} AS MATERIALIZED (
+  SELECT n, x.p, min(struct_pack(d := list_dot_product(x, x) - 2 * list_dot_product(x, c) + list_dot_product(c, c), e := e)) AS best
+  FROM parts x JOIN c{step} ON x.p = c{step}.p GROUP BY n, x.p
+)""")
+        if step < vector_codes.ROUNDS:
+            steps.append(f"""
+m{step} AS (
+  SELECT p, e, list(mean ORDER BY i) AS c FROM (
+    SELECT p, e, i, floor(sum(v) / count(*)) AS mean
+    FROM (SELECT p, best.e AS e, unnest(x) AS v, unnest(range(len(x))) AS i FROM parts JOIN a{step} USING (n, p)) GROUP BY p, e, i
+  ) GROUP BY p, e
+), c{step + 1} AS MATERIALIZED (
+  SELECT p, e, coalesce(m{step}.c, c{step}.c) AS c FROM c{step} LEFT JOIN m{step} USING (p, e)
+)""")
+    last = vector_codes.ROUNDS
+    return f"""
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST) - 1 AS n, vec_id, label,
+    list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS MATERIALIZED (
+  SELECT n, p, v[p * (len(v) // 4) + 1:(p + 1) * (len(v) // 4)] AS x FROM kept, range(4) r(p)
+), c0 AS (
+  SELECT p, n AS e, x AS c FROM parts WHERE n < 256
+), {",".join(steps)}, coded AS (
+  SELECT n, string_agg(printf('%02x', best.e), '' ORDER BY p) AS code, CAST(sum(best.d) AS BIGINT) AS error FROM a{last} GROUP BY n
+), summed AS (
+  SELECT label, CAST(sum(error) AS BIGINT) AS label_error FROM kept JOIN coded USING (n) GROUP BY label
+), books AS (
+  SELECT sha256(string_agg(CAST(CAST(v AS BIGINT) AS VARCHAR), ',' ORDER BY p, e, i)) AS codebooks_sha256
+  FROM (SELECT p, e, unnest(c) AS v, unnest(range(len(c))) AS i FROM c{last})
+)
+SELECT vec_id, code, error, label_error, codebooks_sha256
+FROM kept JOIN coded USING (n) JOIN summed ON kept.label IS NOT DISTINCT FROM summed.label, books
+"""
+
+
+_RANKED_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS n, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS ws
+  FROM documents
+), corpus AS (
+  SELECT CAST(count(*) AS BIGINT) AS many, CAST(sum(len(ws)) AS BIGINT) AS words FROM docs WHERE len(ws) > 0
+), asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+')) AS term
+  FROM benchmark
+), tf AS (
+  SELECT n, doc_id, len(ws) AS size, term, count(*) AS tf
+  FROM (SELECT n, doc_id, ws, unnest(ws) AS term FROM docs) WHERE term IN (SELECT term FROM asked) GROUP BY n, doc_id, ws, term
+), weighted AS (
+  SELECT term, CAST(floor(1000 * ln((2 * many + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM tf, corpus GROUP BY term, many
+), scored AS (
+  SELECT item_id, n, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * size * many) // words)))) AS BIGINT) AS score
+  FROM asked JOIN tf USING (term) JOIN weighted USING (term), corpus GROUP BY item_id, n, doc_id
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 10
+"""
+
 ORACLE: dict[str, str] = {
+    "op11_nearest_neighbours": _NEAREST_SQL,
+    "op12_vector_codes": _codes_sql(),
+    "op13_lexical_search": _RANKED_SQL,
     "op9_decontamination": _BENCHMARK_SQL,
     "op1_near_dedup": _NEAR_SQL,
     "op2_chat_formatting": _CHAT_SQL,
