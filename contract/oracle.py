@@ -711,10 +711,18 @@ UNION ALL SELECT 'no_such_key', 'error', 'Invalid query_key', NULL, NULL""",
     "score_model": with_(*NETWORK)
     + f"""SELECT user_id, event_date, fraud_label, {r('p')} AS fraud_probability,
   CASE WHEN p >= 0.5 THEN 1 ELSE 0 END AS fraud_prediction FROM net""",
-    "scoring_run": with_(*NETWORK, "low AS (SELECT MIN(fraud_score) AS lo, MAX(fraud_score) AS hi FROM lab_cd)")
+    "scoring_run": with_(
+        *LABELLED_CD,
+        "lab_r AS (" + select("lab_cd", f"{CD_PLAIN}, fraud_label", CD_DOUBLES) + ")",
+        DAYS_WITH_DAY.replace("lab_cd", "lab_r"),
+        *scaled("sc", "days", QUOTED_FEATURES),
+        *forward("net", "sc", len(FEATURES)),
+        "low AS (SELECT MIN(fraud_score) AS lo, MAX(fraud_score) AS hi FROM lab_r)",
+        "scores AS (SELECT *, p AS fraud_probability FROM net)",
+    )
     + f"""SELECT user_id, event_date, {r('p')} AS fraud_probability,
   CASE WHEN p >= 0.5 THEN 1 ELSE 0 END AS fraud_prediction,
-  {r('(fraud_score - lo) / (hi - lo) * 0.74 + 0.25')} AS scaled_score FROM net, low""",
+  {r('(fraud_score - lo) / (hi - lo) * 0.74 + 0.25')} AS scaled_score, md5({prompt_sql()}) AS prompt_md5 FROM scores, low""",
     "transaction_inference": with_(*TX_NETWORK)
     + f"""SELECT tx_id AS transaction_id, {r('p')} AS fraud_probability,
   CASE WHEN p >= 0.5 THEN 1 ELSE 0 END AS fraud_label FROM net""",
@@ -747,6 +755,18 @@ FROM customer CROSS JOIN (
 FROM streamed GROUP BY 1, 2, 3
 UNION ALL SELECT NULL, 'reject', NULL,
   (SELECT COUNT(*) FROM tx_h WHERE event_type = 'fail_tx') + {len(STRANGE_TIMES)} * (SELECT COUNT(*) FROM customer), 0.0""",
+    "ingest_beside_loads": with_(TX_HOURLY, TX_DAILY, f"""filled AS (
+  SELECT 'events' AS writer, event_type, transaction_amount, created_at FROM tx_h
+  UNION ALL SELECT 'load', CAST(NULL AS VARCHAR), transaction_amount, created_at FROM tx_d)""")
+    + f"""SELECT "first", writer, event_type, CAST(created_at AS DATE) AS day,
+  CAST(date_trunc('month', created_at) AS DATE) AS event_month, COUNT(*) AS "rows",
+  {r('SUM(transaction_amount)')} AS amount, MAX(created_at) AS latest
+FROM filled, (SELECT unnest(['load', 'stream']) AS "first") o GROUP BY 1, 2, 3, 4, 5""",
+    "ingest_compacted": with_(TX_HOURLY)
+    + f"""SELECT 'events' AS writer, event_type, CAST(created_at AS DATE) AS day,
+  CAST(date_trunc('month', created_at) AS DATE) AS event_month, COUNT(*) AS "rows",
+  {r('SUM(transaction_amount)')} AS amount, MAX(created_at) AS latest, CAST(1 AS BIGINT) AS places_a_month
+FROM tx_h GROUP BY 1, 2, 3, 4""",
     "ingest_features": with_(*FEAT_H)
     + select("feat_h", "event_hour, tx_count, active_users, total_clicks", "total_tx_amount, max_tx_amount"),
     "parse_events": with_(TX_HOURLY)

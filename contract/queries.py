@@ -925,7 +925,7 @@ def ingest_run(spark: SparkSession, d: str) -> DataFrame:
     amounts = good.groupBy("customer_id", "event_type", F.to_date("created_at").alias("day")).agg(
         F.count("*").alias("rows"), F.sum("transaction_amount").alias("amount")
     )
-    dated = good.where(F.col("event_date") != F.to_date("created_at")).count()
+    dated = good.where(F.col("event_month") != F.trunc("created_at", "month")).count()
     rejects = bad.agg(
         F.lit(None).cast("string").alias("customer_id"),
         F.lit("reject").alias("event_type"),
@@ -950,6 +950,68 @@ def ingest_features(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _finance_csv(spark: SparkSession, d: str) -> str:
+    path = scratch_path(spark, "csv")
+    fx.tx_daily(spark, d).select(
+        F.col("transaction_amount").alias("Total Loan"),
+        F.col("account_balance").alias("LCY Deposit"),
+        F.col("created_at").cast("string").alias("created_at"),
+    ).write.option("header", True).csv(path)
+    return path
+
+
+def _by_day(rows: DataFrame) -> DataFrame:
+    """Rows and sums per writer, kind and day, with the month of the partitions they lie in."""
+    return rows.groupBy("writer", "event_type", F.to_date("created_at").alias("day"), "event_month").agg(
+        F.count("*").alias("rows"), F.sum("transaction_amount").alias("amount"), F.max("created_at").alias("latest")
+    )
+
+
+@query
+def ingest_beside_loads(spark: SparkSession, d: str) -> DataFrame:
+    """One raw table filled by a finance load and the stream, in either order."""
+    csv = _finance_csv(spark, d)
+    tx = fx.tx_hourly(spark, d)
+    found = []
+    for first in ("load", "stream"):
+        cfg = jobs.IngestConfig(scratch_path(spark, "state"), _prefix(), scratch_path(spark, "namespaces"))
+        tables.ensure_namespaces(spark, cfg.location, cfg.prefix)
+        name, inbox = qualified(cfg.transactions, cfg.prefix), scratch_path(spark, "inbox")
+        tx.select(fx.event_json(tx).alias("value")).write.text(inbox)
+        steps = [
+            lambda name=name: loads.load_finance(spark, csv, name, LOAD_TS),
+            lambda cfg=cfg, inbox=inbox: jobs.run_ingest(
+                spark, events.stream_source(spark, "text", path=inbox), cfg, once=True
+            ).awaitTermination(),
+        ]
+        for step in steps if first == "load" else reversed(steps):
+            step()
+        spark.catalog.refreshTable(name)
+        found.append(_by_day(spark.table(name)).withColumn("first", F.lit(first)))
+    return rounded(found[0].unionByName(found[1]))
+
+
+@query
+def ingest_compacted(spark: SparkSession, d: str) -> DataFrame:
+    """The raw table after five batches, compaction and a sixth, with its closed partitions per month."""
+    tx = fx.tx_hourly(spark, d)
+    messages = stage(tx.select(fx.event_json(tx).alias("value")), "messages")
+    cfg = jobs.IngestConfig(scratch_path(spark, "state"), _prefix(), scratch_path(spark, "namespaces"))
+    name, inbox = qualified(cfg.transactions, cfg.prefix), scratch_path(spark, "inbox")
+    part = F.pmod(F.xxhash64("value"), F.lit(6))
+    for number in range(6):
+        messages.where(part == number).write.mode("append").text(inbox)
+        jobs.run_ingest(spark, events.stream_source(spark, "text", path=inbox), cfg, once=True).awaitTermination()
+        if number == 4:
+            jobs.run_compaction(spark, cfg)
+    spark.catalog.refreshTable(name)
+    rows = spark.table(name)
+    # Batches 0 to 3 of a month lie in one partition; 4 and 5 are as they came.
+    closed = rows.where("batch_id < 4").groupBy("event_month").agg(F.countDistinct("batch_id").alias("places"))
+    worst = closed.agg(F.max("places").alias("places_a_month"))
+    return rounded(_by_day(rows).join(F.broadcast(worst)))
+
+
 # Jobs
 
 
@@ -1022,12 +1084,15 @@ def training_run(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def scoring_run(spark: SparkSession, d: str) -> DataFrame:
-    """Every score of the stored network with given weights."""
-    days = stage(_customer_days(spark, d), "days")
+    """Every score and prompt of the stored network with given weights."""
+    # Rounded days, so that the texts of both engines' numbers agree.
+    days = stage(rounded(_customer_days(spark, d)), "days")
     scaler = splits.fit_standard(jobs.model_rows(days), FEATURES)
     path = scratch_path(spark, "model")
     models.save_model(spark, fx.fixed_model(spark, len(FEATURES)), scaler, path)
     scored = jobs.run_scoring(spark, days, path)
     return rounded(
-        scored.select("user_id", "event_date", "fraud_probability", "fraud_prediction", "scaled_score")
+        scored.select(
+            "user_id", "event_date", "fraud_probability", "fraud_prediction", "scaled_score", F.md5("prompt").alias("prompt_md5")
+        )
     )

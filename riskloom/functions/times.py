@@ -15,21 +15,16 @@ def hour_start(ts: Column) -> Column:
     return F.to_date(ts).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.hour(ts))
 
 
-# Epoch seconds an event may bear: from 1970 up to, not including, 2100.
-EARLIEST, LATEST = 0.0, 4_102_444_800.0
+# Seconds that a timestamp of 64 bits of microseconds can hold, either way.
+SECONDS_HELD = 9_223_372_036_854.0
 
 
-def epoch_to_ts(seconds: Column, earliest: float = EARLIEST, latest: float = LATEST) -> Column:
-    """Epoch seconds, fractions kept, as UTC ``timestamp_ntz``.
+def epoch_to_ts(seconds: Column) -> Column:
+    """Epoch seconds, fractions kept, as UTC ``timestamp_ntz``, from the year -290308 to 294247.
 
-    NULL outside [``earliest``, ``latest``), which NaN is too: such a number is
-    another unit or damage, and most have no timestamp.
+    NULL for numbers beyond that, NaN among them, which have no timestamp.
     """
-    known = F.when((seconds >= earliest) & (seconds < latest), seconds)
-    return _epoch_to_ts(known)
-
-
-def _epoch_to_ts(seconds: Column) -> Column:
+    seconds = F.when(F.abs(seconds) < SECONDS_HELD, seconds)
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     whole = F.floor(seconds)
     micros = F.round((seconds - whole) * 1_000_000)

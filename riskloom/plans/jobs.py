@@ -16,6 +16,7 @@ from ..operators.clean import ctr_proxy_target, day_of_month, silver_clean
 from ..operators.prompts import risk_prompt
 from ..schema import FEATURES, HOURLY_TRAINING, qualified
 from ..session import scratch_scope, stage
+from ..sources import raw
 from ..sources.files import read_csv, read_parquet, write_parquet
 from ..sources.tables import ensure_namespaces, materialize, write_jdbc
 from ..streaming.events import ingest_events
@@ -125,13 +126,23 @@ class IngestConfig:
     transactions: str = "raw.finance"
     rejects: str = "raw.user_event_rejects"
     interval: str = "1 minute"
+    writer: str = "events"
 
 
 def run_ingest(spark: SparkSession, messages: DataFrame, cfg: IngestConfig, once: bool = False) -> StreamingQuery:
-    """Stream messages into the raw transaction table, which ``run_features`` reads, and the rejects."""
+    """Stream messages into the raw transaction table, which ``run_features`` reads, and the rejects.
+
+    Finance loads may fill the same table before, after and meanwhile.
+    """
     ensure_namespaces(spark, cfg.location, cfg.prefix)
     good, bad = (qualified(name, cfg.prefix) for name in (cfg.transactions, cfg.rejects))
-    return ingest_events(messages, good, bad, cfg.checkpoint, once, cfg.interval)
+    return ingest_events(messages, good, bad, cfg.checkpoint, once, cfg.interval, cfg.writer)
+
+
+def run_compaction(spark: SparkSession, cfg: IngestConfig) -> dict[str, int]:
+    """Merge the small partitions that ingest left, while no reader runs; returns how many went, by table."""
+    tables = (qualified(name, cfg.prefix) for name in (cfg.transactions, cfg.rejects))
+    return {name: raw.compact(spark, name) for name in tables}
 
 
 @dataclass(frozen=True)

@@ -9,7 +9,8 @@ from ..functions.rules import customer_id_text
 from ..operators.clean import rename_select
 from ..schema import MARKETING, TRANSACTIONS
 from .files import read_csv
-from .tables import append, materialize
+from .raw import append_rows, ensure_raw, raw_rows
+from .tables import materialize
 
 # Source column to table column.
 FINANCE_COLUMNS = {"Total Loan": "transaction_amount", "LCY Deposit": "account_balance"}
@@ -67,9 +68,10 @@ def marketing_rows(raw: DataFrame, load_ts: str | Column) -> DataFrame:
 
 
 def load_finance(spark: SparkSession, path: str, table: str, load_ts: str | Column) -> DataFrame:
-    """Append a finance CSV to ``table``."""
-    append(finance_rows(read_csv(spark, path), load_ts), table)
-    return spark.table(table)
+    """Append a finance CSV to the raw table ``table``, which streams may fill too; returns all its rows."""
+    ensure_raw(spark, table, TRANSACTIONS)
+    append_rows(finance_rows(read_csv(spark, path), load_ts), F.col("created_at"), table)
+    return raw_rows(spark, table)
 
 
 def load_marketing(spark: SparkSession, path: str, table: str, load_ts: str | Column) -> DataFrame:

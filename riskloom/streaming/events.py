@@ -11,6 +11,11 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.times import epoch_to_ts
 from ..schema import REJECTS, TRANSACTIONS, USER_EVENT
 from ..session import scratch_scope, stage
+from ..sources.raw import ensure_raw, replace_batch
+
+# Epoch seconds an event may bear: from 1970 up to, not including, 2100. Other
+# numbers are another unit or damage.
+EARLIEST, LATEST = 0.0, 4_102_444_800.0
 
 # The topic and where a new subscriber starts.
 TOPIC = "user_events"
@@ -32,7 +37,8 @@ def stream_source(spark: SparkSession, fmt: str = "kafka", **options: str) -> Da
 
 def _complete(event: Column) -> Column:
     present = [event[name].isNotNull() for name in USER_EVENT.names]
-    return reduce(Column.__and__, present) & epoch_to_ts(event["timestamp"]).isNotNull()
+    seconds = event["timestamp"]
+    return reduce(Column.__and__, present) & (seconds >= EARLIEST) & (seconds < LATEST)
 
 
 def _transaction_columns() -> list[Column]:
@@ -49,7 +55,7 @@ def parse_events(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split messages into transactions and rejects, for a stream or a batch.
 
     A message that is no JSON object of the event fields, or whose time lies
-    outside the years ``epoch_to_ts`` takes, is rejected with its text, and
+    outside the years 1970 to 2099, is rejected with its text, and
     never stops the stream. The parsed message sits in an array of
     one, so that the many uses of its fields parse it once.
     """
@@ -60,41 +66,38 @@ def parse_events(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def ingest_events(
-    raw: DataFrame, good_table: str, reject_table: str, checkpoint: str, once: bool = False, interval: str = "1 minute"
+    raw: DataFrame,
+    good_table: str,
+    reject_table: str,
+    checkpoint: str,
+    once: bool = False,
+    interval: str = "1 minute",
+    writer: str = "events",
 ) -> StreamingQuery:
     """Stream messages into the transaction table and the table of rejects, each exactly once.
 
-    Every micro-batch is parsed once and staged. Both tables are partitioned by
-    date and batch, and a batch replaces its own partitions: one that is repeated
-    after a failure leaves what it left before. A batch writes one file per
-    date, so files are as many as dates met per interval. A session that has read
-    a table already refreshes it to see what came later.
+    Every micro-batch is parsed once and staged, then becomes one batch of
+    ``writer`` in both raw tables: one that is repeated after a failure leaves what
+    it left before. Streams into one table need names of their own. A session that has
+    read a table already refreshes it to see what came later.
     """
     spark = raw.sparkSession
-    for name, schema in ((good_table, TRANSACTIONS), (reject_table, REJECTS)):
-        if not spark.catalog.tableExists(name):
-            empty = spark.createDataFrame([], schema).withColumns(
-                {"event_date": F.lit(None).cast("date"), "batch_id": F.lit(None).cast("bigint")}
-            )
-            empty.write.partitionBy("event_date", "batch_id").saveAsTable(name)
+    ensure_raw(spark, good_table, TRANSACTIONS)
+    ensure_raw(spark, reject_table, REJECTS)
 
     def load(batch: DataFrame, number: int) -> None:
-        # The session of this stream alone.
-        batch.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         with scratch_scope(batch.sparkSession):
             one = F.array(F.from_json(F.col("value").cast("string"), USER_EVENT))
             parsed = batch.select(F.col("value").cast("string").alias("value"), F.filter(one, _complete).alias("_good"))
             parsed = stage(parsed, "batch")
             good = parsed.select(F.inline("_good")).select(*_transaction_columns()).to(TRANSACTIONS)
             bad = parsed.where(F.size("_good") == 0).select("value")
-            now = F.current_date()
-            for rows, name, day in ((good, good_table, F.to_date("created_at")), (bad, reject_table, now)):
-                dated = rows.withColumns({"event_date": day, "batch_id": F.lit(number).cast("bigint")})
-                dated.repartition("event_date").write.insertInto(name, overwrite=True)
+            replace_batch(good, F.col("created_at"), good_table, writer, number)
+            replace_batch(bad, F.current_date(), reject_table, writer, number)
 
-    writer = raw.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
-    writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=interval)
-    return writer.start()
+    stream = raw.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
+    stream = stream.trigger(availableNow=True) if once else stream.trigger(processingTime=interval)
+    return stream.start()
 
 
 def stream_append(

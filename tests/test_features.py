@@ -138,6 +138,9 @@ def test_times_ignore_the_session_zone(spark, make, zone):
             times.epoch_to_ts(F.col("epoch")).alias("at"),
             times.weekday(F.to_date("ts")).alias("weekday"),
             times.epoch_to_ts(F.lit(-0.5)).alias("early"),
+            times.epoch_to_ts(F.lit(-1e9)).alias("long_ago"),
+            times.epoch_to_ts(F.lit(2.5e11)).alias("far"),
+            *(times.epoch_to_ts(F.lit(x)).alias(f"none{n}") for n, x in enumerate((9.3e12, -1e30, float("nan")))),
         ).first()
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
@@ -145,6 +148,8 @@ def test_times_ignore_the_session_zone(spark, make, zone):
     assert row["at"] == datetime(2024, 3, 10, 2, 30, 0, 250000)
     assert row["weekday"] == 0
     assert row["early"] == datetime(1969, 12, 31, 23, 59, 59, 500000)
+    assert row["long_ago"] == datetime(1938, 4, 24, 22, 13, 20) and row["far"] == datetime(9892, 3, 8, 12, 26, 40)
+    assert row["none0"] is row["none1"] is row["none2"] is None
 
 
 def test_rollup_equals_direct(spark, sf_dir):
