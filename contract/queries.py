@@ -713,7 +713,8 @@ def classification_report(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def roc_auc(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(metrics.roc_auc(_judged(spark, d), "fraud_label", "fraud_probability"))
+    judged = stage(_judged(spark, d).select("fraud_label", "fraud_probability"), "judged")
+    return rounded(metrics.roc_auc(judged, "fraud_label", "fraud_probability"))
 
 
 @query

@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordered import in_global_order
+from .ordered import bin_of
 
 # Distance kept from 0 and 1 in the log loss; thresholds while training.
 CLIP = 1e-7
 THRESHOLDS = 200
 # End of fixed values.
 
+# Bins that scores are cut into.
+BINS = 128
+
 _BEFORE = (Window.unboundedPreceding, -1)
 
 
@@ -85,12 +88,12 @@ def classification_report(df: DataFrame, actual: str, predicted: str) -> DataFra
     return per_class.select(F.explode(F.array(*rows)).alias("row")).select("row.*")
 
 
-def _scored(df: DataFrame, actual: str, score: Column) -> DataFrame:
+def _scored(df: DataFrame, actual: str, score: Column, *by: str) -> DataFrame:
     """Positives and negatives per score."""
     y = F.col(actual)
     return (
         df.where(y.isNotNull() & score.isNotNull())
-        .groupBy(score.alias("_score"))
+        .groupBy(*by, score.alias("_score"))
         .agg(F.count_if(y == 1).alias("_positive"), F.count_if(y == 0).alias("_negative"))
     )
 
@@ -111,24 +114,38 @@ def _auc_row(df: DataFrame, area: Column) -> DataFrame:
     )
 
 
-def roc_auc(df: DataFrame, actual: str, probability: str) -> DataFrame:
+def roc_auc(df: DataFrame, actual: str, probability: str, bins: int = BINS) -> DataFrame:
     """Exact area under the ROC curve, ties counted half, with the class sizes.
 
-    NULL when one class is missing. Rows are first summed per score, so tied
-    scores are one row; sums below each score come from range partitions.
+    NULL when one class is missing. A sketch cuts the scores into bins of as many
+    rows each, whose class sums give every pair across bins; only bins that hold both
+    classes are put in order, each by itself. ``df`` is read three times, so stage
+    one that is dear to make.
     """
-    placed = in_global_order(_scored(df, actual, F.col(probability)), ["_score"])
-    inside = Window.partitionBy("_part").orderBy("_score").rowsBetween(*_BEFORE)
-    below = F.coalesce(F.sum("_negative").over(inside), F.lit(0))
-    parts = (
-        placed.withColumn("_area", _area(below))
-        .groupBy("_part")
-        .agg(*(F.sum(c).alias(c) for c in ("_area", "_positive", "_negative")))
+    y, score = F.col(actual), F.col(probability)
+    rows = df.where(y.isNotNull() & score.isNotNull()).select(y.alias("_y"), score.alias("_score"))
+    ranks = [n / bins for n in range(1, bins)]
+    # As many numbers as there are bins.
+    found = rows.agg(F.percentile_approx("_score", ranks, 10_000)).first()[0] or []
+    edges = sorted({float(edge) for edge in found if edge == edge})
+    binned = rows.withColumn("_bin", bin_of(F.col("_score"), edges))
+    positive, negative = F.count_if(F.col("_y") == 1), F.count_if(F.col("_y") == 0)
+    sums = binned.groupBy("_bin").agg(positive.alias("p"), negative.alias("n")).orderBy("_bin").collect()
+    across = below = 0
+    for row in sums:
+        across += row["p"] * below
+        below += row["n"]
+    positives = sum(row["p"] for row in sums)
+    mixed = [row["_bin"] for row in sums if row["p"] and row["n"]]
+    within = _scored(binned.where(F.col("_bin").isin(mixed)), "_y", F.col("_score"), "_bin")
+    earlier = Window.partitionBy("_bin").orderBy("_score").rowsBetween(*_BEFORE)
+    area = within.withColumn("_area", _area(F.coalesce(F.sum("_negative").over(earlier), F.lit(0))))
+    pairs = F.lit(float(across)) + F.coalesce(F.sum("_area"), F.lit(0.0))
+    return area.agg(
+        F.try_divide(pairs, F.lit(float(positives) * below)).alias("auc"),
+        F.lit(positives).cast("bigint").alias("positives"),
+        F.lit(below).cast("bigint").alias("negatives"),
     )
-    # One row per range partition from here on.
-    earlier = Window.orderBy("_part").rowsBetween(*_BEFORE)
-    lower = F.coalesce(F.sum("_negative").over(earlier), F.lit(0)).cast("double")
-    return _auc_row(parts, F.col("_area") + F.col("_positive") * lower)
 
 
 def roc_auc_binned(

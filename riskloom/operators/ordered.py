@@ -73,10 +73,23 @@ def row_numbers(
 
 
 # Accuracy of the sketch, and how far around a wanted rank its bracket reaches, as
-# a share of the rows. Bins that a bracket's values fall into.
+# a share of the rows. Bins of a bracket, of about as many rows each.
 _ACCURACY = 10_000
 _SLACK = 2.0 / _ACCURACY
-_BINS = 4096
+_BINS = 4
+
+
+def bin_of(value: Column, edges: Sequence[Column | float]) -> Column:
+    """How many of the ascending ``edges`` lie below ``value``, by a search tree of comparisons."""
+
+    def among(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        edge = edges[middle] if isinstance(edges[middle], Column) else F.lit(edges[middle])
+        return F.when(value > edge, among(middle + 1, high)).otherwise(among(low, middle))
+
+    return among(0, len(edges))
 
 
 def _same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
@@ -85,33 +98,37 @@ def _same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
 
 
 def _bracketed(rows: DataFrame, groups: list[str], probs: Sequence[float], slack: float) -> DataFrame:
-    """Rows counted by value inside the brackets and by region outside: (groups, _region, _value, _n).
+    """Rows counted by value inside the brackets and by bin outside: (groups, _bin, _value, _n).
 
-    A region is the number of brackets that end below; what lies outside in it
-    comes before what lies inside, and has no value.
+    The brackets' edges are ranks of one sketch, evenly spaced, so a region of many
+    rows with close values is cut as any other. A bin is the number of edges below;
+    what lies between two brackets is a bin whose rows have no value here.
     """
-    low = [max(0.0, p - slack) for p in probs]
-    high = [min(1.0, p + slack) for p in probs]
-    sketch = lambda at: F.percentile_approx("_value", [float(p) for p in at], _ACCURACY)
-    edges = rows.groupBy(*groups).agg(sketch(low).alias("_low"), sketch(high).alias("_high"))
+    steps = _BINS if slack < 1 else 1
+    at = [min(1.0, max(0.0, p + slack * (2 * n / steps - 1))) for p in probs for n in range(steps + 1)]
+    at, wanted = sorted(set(at)), set(at)
+    edges = rows.groupBy(*groups).agg(F.percentile_approx("_value", at, _ACCURACY).alias("_edges"))
     if groups:
         edges = stage(edges, "brackets")
-        right = edges.select(*(F.col(g).alias(f"{g}_") for g in groups), "_low", "_high")
+        right = edges.select(*(F.col(g).alias(f"{g}_") for g in groups), "_edges")
         match = reduce(Column.__and__, (rows[g].eqNullSafe(right[f"{g}_"]) for g in groups))
         placed = rows.join(right, match)
     else:
-        one = edges.first()
         kind = rows.schema["_value"].dataType
-        arrays = {name: F.lit(one[name] or []).cast(ArrayType(kind)) for name in ("_low", "_high")}
-        placed = rows.withColumns(arrays)
-    value = F.col("_value")
-    ends = [F.get("_high", F.lit(n)) for n in range(len(probs))]
-    starts = [F.get("_low", F.lit(n)) for n in range(len(probs))]
-    region = reduce(Column.__add__, (F.when(end < value, 1).otherwise(0) for end in ends))
-    inside = reduce(Column.__or__, ((a <= value) & (value <= b) for a, b in zip(starts, ends)))
-    return placed.groupBy(*groups, region.alias("_region"), F.when(inside, value).alias("_value")).agg(
-        F.count("*").alias("_n")
-    )
+        # One row of a few edges.
+        found = F.lit(edges.first()["_edges"] or []).cast(ArrayType(kind))
+        placed = rows.withColumn("_edges", found)
+    # An edge itself opens the bin that it ends.
+    value, edge = F.col("_value"), [F.get("_edges", F.lit(n)) for n in range(len(at))]
+    number = bin_of(value, edge)
+    spans = [(p - slack, p + slack) for p in probs]
+    inner = [n for n in range(1, len(at)) if any(low <= at[n - 1] and at[n] <= high for low, high in spans)]
+    # Equal edges make bins that stay empty; a value on a bracket's first edge belongs to it.
+    starts = [n for n in range(len(at)) if n not in inner]
+    inside = number.isin(*inner) if inner else F.lit(False)
+    for n in starts:
+        inside = inside | (value == edge[n])
+    return placed.groupBy(*groups, number.alias("_bin"), F.when(inside, value).alias("_value")).agg(F.count("*").alias("_n"))
 
 
 def exact_quantiles(
@@ -130,41 +147,36 @@ def exact_quantiles(
 
     A first pass brackets every wanted rank by a sketch, a second counts the
     rows around the brackets and the values inside, both combined in the map
-    tasks. Only the counted values, a few thousandths of the rows, are stored; bins
-    over them lead to the values at the wanted ranks. A rank outside its
-    bracket is looked for again with a wider one, so the result is exact.
+    tasks. Only the counted values, a few thousandths of the rows, are stored, in
+    bins of as many rows each; a bin that holds a wanted rank is put in order. A rank
+    outside its bracket is looked for again with a wider one, so the result is exact.
     """
     by, probs = list(by), sorted({float(p) for p in probs})
     groups = [f"_g{n}" for n in range(len(by))]
     rows = df.where(F.col(value).isNotNull()).select(
         *(F.col(c).alias(g) for c, g in zip(by, groups)), F.col(value).alias("_value")
     )
-    bins = [*groups, "_region", "_bin"]
+    bins = [*groups, "_bin", "_inside"]
     while True:
         counted = stage(_bracketed(rows, groups, probs, slack), "bracketed")
-        spans = counted.groupBy(*groups, "_region").agg(F.min("_value").alias("_from"), F.max("_value").alias("_to"))
-        spans = spans.select(*(F.col(c).alias(f"{c}_") for c in [*groups, "_region"]), "_from", "_to")
-        match = reduce(Column.__and__, (counted[c].eqNullSafe(spans[f"{c}_"]) for c in [*groups, "_region"]))
-        share = (F.col("_value") - F.col("_from")) / (F.col("_to") - F.col("_from")).cast("double")
-        bin_of = F.when(F.col("_value").isNull(), -1).when(F.col("_from") == F.col("_to"), 0)
-        bin_of = bin_of.otherwise(F.floor(share * _BINS)).cast("int")
-        placed = stage(counted.join(spans, match).select(*groups, "_region", bin_of.alias("_bin"), "_value", "_n"), "binned")
-        wanted = stage(_wanted(placed.groupBy(*bins).agg(F.sum("_n").alias("_rows")), groups, probs, interpolate), "wanted")
-        if slack >= 1 or not wanted.where("_bin < 0").limit(1).count():
-            break
+        # Of a bin between brackets, what equals the edge it ends at comes last.
+        counted = counted.withColumn("_inside", F.col("_value").isNotNull().cast("int"))
+        wanted = _wanted(counted.groupBy(*bins).agg(F.sum("_n").alias("_rows")), groups, probs, interpolate)
+        upto = Window.partitionBy(*bins).orderBy("_value").rowsBetween(*_BEFORE)
+        near = counted.join(wanted, _same(counted, wanted, bins), "left_semi")
+        near = near.withColumn("_below", F.coalesce(F.sum("_n").over(upto), F.lit(0)))
+        ranks = wanted.select(*(F.col(c).alias(f"{c}_") for c in bins), "prob", "_weight", "_local")
+        match = reduce(Column.__and__, (near[c].eqNullSafe(ranks[f"{c}_"]) for c in bins))
+        found = near.join(ranks, match).where(
+            (F.col("_local") >= F.col("_below")) & (F.col("_local") < F.col("_below") + F.col("_n"))
+        )
+        low, high = F.min("_value"), F.max("_value")
+        picked = low + F.max("_weight") * (high - low) if interpolate else low
+        missed = F.count_if(F.col("_inside") == 0).alias("_missed")
+        named = stage(found.groupBy(*groups, "prob").agg(picked.alias("quantile"), missed), "quantiles")
+        if slack >= 1 or not named.where("_missed > 0").limit(1).count():
+            return named.select(*(F.col(g).alias(c) for c, g in zip(by, groups)), "prob", "quantile")
         slack = min(1.0, 16 * max(slack, 1.0 / _ACCURACY))
-    upto = Window.partitionBy(*bins).orderBy("_value").rowsBetween(*_BEFORE)
-    near = placed.join(wanted, _same(placed, wanted, bins), "left_semi")
-    near = near.withColumn("_below", F.coalesce(F.sum("_n").over(upto), F.lit(0)))
-    ranks = wanted.select(*(F.col(c).alias(f"{c}_") for c in bins), "prob", "_weight", "_local")
-    match = reduce(Column.__and__, (near[c].eqNullSafe(ranks[f"{c}_"]) for c in bins))
-    found = near.join(ranks, match).where(
-        (F.col("_local") >= F.col("_below")) & (F.col("_local") < F.col("_below") + F.col("_n"))
-    )
-    low, high = F.min("_value"), F.max("_value")
-    picked = low + F.max("_weight") * (high - low) if interpolate else low
-    named = found.groupBy(*groups, "prob").agg(picked.alias("quantile"))
-    return named.select(*(F.col(g).alias(c) for c, g in zip(by, groups)), "prob", "quantile")
 
 
 def _wanted(sums: DataFrame, groups: list[str], probs: Sequence[float], interpolate: bool) -> DataFrame:
@@ -172,7 +184,7 @@ def _wanted(sums: DataFrame, groups: list[str], probs: Sequence[float], interpol
     position = F.col("prob") * (F.col("_total") - 1)
     ceiling = F.greatest(F.ceil(F.col("prob") * F.col("_total")) - 1, F.lit(0))
     ranks = F.array_distinct(F.array(F.floor(position), F.ceil(position)))
-    earlier = Window.partitionBy(*groups).orderBy("_region", "_bin").rowsBetween(*_BEFORE)
+    earlier = Window.partitionBy(*groups).orderBy("_bin", "_inside").rowsBetween(*_BEFORE)
     return (
         sums.withColumn("_start", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
         .withColumn("_total", F.sum("_rows").over(Window.partitionBy(*groups)))
@@ -180,5 +192,5 @@ def _wanted(sums: DataFrame, groups: list[str], probs: Sequence[float], interpol
         .withColumn("_weight", position - F.floor(position) if interpolate else F.lit(0.0))
         .withColumn("_rank", F.explode(ranks) if interpolate else ceiling)
         .where((F.col("_rank") >= F.col("_start")) & (F.col("_rank") < F.col("_start") + F.col("_rows")))
-        .select(*groups, "_region", "_bin", "prob", "_weight", (F.col("_rank") - F.col("_start")).alias("_local"))
+        .select(*groups, "_bin", "_inside", "prob", "_weight", (F.col("_rank") - F.col("_start")).alias("_local"))
     )

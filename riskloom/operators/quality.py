@@ -2,13 +2,8 @@
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Iterator
 from math import pi, sqrt
 
-import numpy as np
-import pyarrow as pa
-from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,10 +11,6 @@ from pyspark.sql import functions as F
 from ..sources.tables import dataset
 from .ordered import exact_quantiles
 
-# Functions of this module travel with the tasks that use them, so executors
-# need no copy of the package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 # Box length for whiskers, quartiles, default bins and grid.
 WHISKER = 1.5
 QUARTILES = [0.25, 0.5, 0.75]
@@ -179,47 +170,31 @@ def histogram(df: DataFrame, column: str, bins: int = BINS) -> DataFrame:
     )
 
 
-def kernel_sums(values: np.ndarray, grid: np.ndarray, width: float) -> np.ndarray:
-    """Gaussian terms of all values at each grid point, a few thousand values at a time."""
-    total = np.zeros(len(grid))
-    for at in range(0, len(values), 4096):
-        distance = (grid[:, None] - values[None, at : at + 4096]) / width
-        total += np.exp(-0.5 * distance * distance).sum(axis=1)
-    return total
-
-
 def kde(df: DataFrame, column: str, points: int = GRID) -> DataFrame:
     """Gaussian density on an even grid from minimum to maximum, Scott's bandwidth.
 
-    Every task sums the terms of its own values at the grid points; only these
-    sums are shuffled. NULL densities for a column without spread.
+    Every value meets every grid point within its task, where the terms are summed;
+    a task shuffles one row per point. NULL densities for a column without spread;
+    no rows for one without values.
     """
     value = F.col(column).cast("double")
     low, high, n, std = df.agg(
         F.min(value), F.max(value), F.count(value), F.stddev_samp(value)
     ).first()
+    point = F.col("point")
+    if not n:
+        low = high = 0.0
+    x = F.lit(low) + point * (high - low) / (points - 1)
     if not std:
-        low, high = low or 0.0, high or 0.0
-    width = std * n**-0.2 if std else None
-    grid = np.array([low + place * (high - low) / (points - 1) for place in range(points)])
-
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(points)
-        for batch in batches:
-            if width:
-                total += kernel_sums(batch.column("v").to_numpy(), grid, width)
-        yield pa.RecordBatch.from_arrays([pa.array(range(points), pa.int32()), pa.array(total)], ["point", "mass"])
-
-    values = df.where(value.isNotNull()).select(value.alias("v"))
-    mass = values.mapInArrow(sums, "point int, mass double").groupBy("point").agg(F.sum("mass").alias("mass"))
-    scale = n * width * sqrt(2 * pi) if width else None
-    at = F.lit(low) + F.col("point") * (high - low) / (points - 1)
-    every = df.sparkSession.range(points).select(F.col("id").cast("int").alias("point"))
-    return every.join(mass, "point", "left").select(
-        "point",
-        at.alias("x"),
-        (F.col("mass") / F.lit(scale).cast("double")).alias("density"),
+        every = df.sparkSession.range(points if n else 0).select(F.col("id").cast("int").alias("point"))
+        return every.select("point", x.alias("x"), F.lit(None).cast("double").alias("density"))
+    width = std * n**-0.2
+    distance = (x - F.col("v")) / width
+    grid = F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point")
+    mass = df.where(value.isNotNull()).select(value.alias("v"), grid).groupBy("point").agg(
+        F.sum(F.exp(-0.5 * distance * distance)).alias("mass")
     )
+    return mass.select("point", x.alias("x"), (F.col("mass") / (n * width * sqrt(2 * pi))).alias("density"))
 
 
 def boxplot_stats(df: DataFrame, column: str) -> DataFrame:

@@ -255,5 +255,6 @@ def run_marketing_training(
             scored = scored.withColumn(
                 "fraud_prediction", rules.flag(F.col("fraud_probability") >= rules.PROBABILITY_MIN)
             )
+            scored = stage(scored.select("target", "fraud_probability", "fraud_prediction"), f"{part}-scores")
             results.append(evaluate(scored, "target").withColumn("part", F.lit(part)))
         return results[0].unionByName(results[1])

@@ -130,6 +130,21 @@ def test_auc(spark):
     assert turned == pytest.approx(1 - auc)
 
 
+def test_auc_orders_mixed_bins_only(spark):
+    """Distinct scores, some bins of one class; no order of all rows."""
+    rng = random.Random(5)
+    rows = [(int(rng.random() < (0.0 if n < 600 else n / 2000)), n + rng.random()) for n in range(2000)]
+    rows += [(1, None), (None, 0.5)]
+    df = spark.createDataFrame(rows, "y int, p double").repartition(6)
+    got = metrics.roc_auc(df, "y", "p", bins=16)
+    assert "rangepartitioning" not in got._jdf.queryExecution().executedPlan().toString()
+    row = got.first()
+    assert row["auc"] == pytest.approx(brute_auc([r for r in rows if None not in r]))
+    assert row["positives"] + row["negatives"] == 2000
+    none = metrics.roc_auc(df.where("p < 0"), "y", "p").first()
+    assert (none["auc"], none["positives"], none["negatives"]) == (None, 0, 0)
+
+
 def test_binned_auc(spark):
     rng = random.Random(3)
     rows = [(int(rng.random() < 0.3), rng.choice([0.0, 1.0, rng.random()])) for _ in range(500)]
@@ -230,6 +245,18 @@ def test_quantiles_of_few_rows_and_null_groups(make):
     assert ordered.exact_quantiles(df.where("v > 9"), "v", [0.5], ["g"]).collect() == []
 
 
+def test_no_bracket_misses_and_no_bin_is_hot(spark):
+    """Half of all rows within a millionth of the value range, next to the wanted rank."""
+    rng = random.Random(4)
+    values = [0.5 + rng.random() * 1e-6 if rng.random() < 0.5 else rng.random() for _ in range(30_000)]
+    df = spark.createDataFrame([(v,) for v in values], "_value double").repartition(5)
+    counted = ordered._bracketed(df, [], [0.5], 0.01).withColumn("inside", F.col("_value").isNotNull())
+    bins = [r["n"] for r in counted.where("inside").groupBy("_bin").agg(F.sum("_n").alias("n")).collect()]
+    assert 400 < sum(bins) < 800 and max(bins) < sum(bins) / 2
+    got = ordered.exact_quantiles(df, "_value", [0.5]).first()["quantile"]
+    assert got == pytest.approx(plain_quantile(values, 0.5), abs=1e-15)
+
+
 def test_quantiles_do_not_sort_the_table(spark):
     df = spark.range(1000).select(F.col("id").cast("double").alias("v"))
     for step in (ordered.exact_quantiles(df, "v", [0.5]), ordered._bracketed(df.withColumnRenamed("v", "_value"), [], [0.5], 0.01)):
