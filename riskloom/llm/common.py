@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,7 +34,7 @@ def public_vocabulary(name: str = "byte_bpe_50k.json") -> str:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Bound what one batch to a Python worker holds, unless the session already does.
+    """Bound what one batch to a Python worker holds, whatever the session had set.
 
     Sets only how rows are batched, which changes no result.
     """
@@ -42,6 +45,43 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(name, value)
 
 
+#: Texts of a batch that are worked on at a time, so that temporary arrays stay small.
+SLICE_BYTES = 1 << 20
+
+
+def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[int, list[bytes]]]:
+    """Runs of ``column``'s texts as bytes (null: empty) with their first row, SLICE_BYTES at a time, about."""
+    texts = batch.column(column).cast(pa.binary())
+    lengths = pc.fill_null(pc.binary_length(texts), 0).to_numpy()
+    part = (np.cumsum(lengths) - lengths) // SLICE_BYTES
+    starts = np.flatnonzero(np.diff(part, prepend=-1)).tolist()
+    for start, end in zip(starts, [*starts[1:], batch.num_rows]):
+        yield start, [t or b"" for t in texts.slice(start, end - start).to_pylist()]
+
+
+def _release() -> None:
+    """Give freed memory back to the machine, for workers go on to other stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # not this C library: memory is kept for reuse
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run`` for ``mapInArrow``, releasing memory after each result and at the end."""
+
+    @wraps(run)
+    def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in run(batches):
+            yield batch
+            del batch
+            _release()
+        _release()
+
+    return released
+
+
 def runs(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[tuple[tuple[int, ...], pa.RecordBatch]]:
     """Slices of sorted batches between changes of whole-number ``keys``, each with its key.
 

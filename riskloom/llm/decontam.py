@@ -13,7 +13,8 @@ cap on what is retrieved.
 
 A retrieved item counts only if the document holds at least half of the
 five-word sequences of its question (the first three quarters) and of its
-answer (the last quarter).
+answer (the last quarter), or at least seven tenths of all its sequences: an item
+without an answer column has no marked answer, and most of it verbatim is a leak.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, whole
+from .common import bounded_batches, lean, slices, whole
 from .minhash import mix, word_hashes, word_spans
 
 SEGMENT_WORDS = 64
@@ -39,6 +40,9 @@ GRAM_WORDS = 5
 THRESHOLD = 0.5
 OVERLAP = 0.5
 
+#: Share of all of an item's sequences that is enough by itself.
+WHOLE_OVERLAP = 0.7
+
 #: BM25's usual settings.
 K1, B = 1.2, 0.75
 
@@ -49,6 +53,9 @@ BLOCK = 16
 #: with an index of this size, which is what is sent to every worker.
 INDEX_BYTES = 8 << 20
 
+#: Postings that are looked at together; passages beyond it wait.
+SPREAD = 1 << 20
+
 # Words are runs of letters A-Z, digits and all characters beyond ASCII.
 _WORD = r"[0-9a-z\x{80}-\x{10FFFF}]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -78,27 +85,31 @@ def grams(words: np.ndarray, size: int) -> np.ndarray:
 class Item:
     """A test item as its document would show it."""
 
-    id: int
+    id: int | None
     size: int
     question: np.ndarray
     answer: np.ndarray
 
     @classmethod
-    def of(cls, key: int, words: np.ndarray) -> Item:
+    def of(cls, key: int | None, words: np.ndarray) -> Item:
         size = min(GRAM_WORDS, len(words))
         runs = grams(words, size)
         last = max(1, len(runs) // 4)
         return cls(key, size, runs[:-last] if len(runs) > last else runs, runs[-last:])
 
-    def overlaps(self, words: np.ndarray) -> tuple[float, float]:
+    def overlaps(self, words: np.ndarray) -> tuple[float, float, float]:
+        """Shares of the question's, the answer's and all sequences that lie in ``words``."""
         held = grams(words, self.size)
-        return tuple(float(np.isin(part, held).mean()) for part in (self.question, self.answer))
+        question, answer = (np.isin(part, held) for part in (self.question, self.answer))
+        # An item of one sequence is question and answer at once.
+        every = answer if len(question) == len(answer) == 1 else np.concatenate([question, answer])
+        return float(question.mean()), float(answer.mean()), float(every.mean())
 
 
 class Index:
     """Inverted index of test segments with a maximum per word and per block."""
 
-    def __init__(self, items: list[tuple[int, list[str]]], weights: dict[str, float], mean_words: float):
+    def __init__(self, items: list[tuple[int | None, list[str]]], weights: dict[str, float], mean_words: float):
         """``weights``: the inverse document frequency of each word over all segments."""
         self.items: list[Item] = []
         self.owner: list[int] = []
@@ -153,12 +164,25 @@ class Index:
 
         ``passage`` and ``term`` name each distinct word of each passage.
         """
-        floor = THRESHOLD - 1e-9
         bound = np.bincount(passage, self.word_max[term], passages)
-        go = bound[passage] >= floor
+        go = bound[passage] >= THRESHOLD - 1e-9
         passage, term = passage[go], term[go]
-        if not len(term):
-            return []
+        # Passages in groups whose postings are bounded, whatever the number of items.
+        order = np.argsort(passage, kind="stable")
+        passage, term = passage[order], term[order]
+        cost = np.cumsum(self.bounds[term + 1] - self.bounds[term])
+        starts = np.flatnonzero(np.diff(passage, prepend=-1)) if len(passage) else []
+        found, at = [], 0
+        for number, start in enumerate(starts):
+            end = starts[number + 1] if number + 1 < len(starts) else len(term)
+            last = number + 1 == len(starts)
+            if last or cost[(starts[number + 2] if number + 2 < len(starts) else len(term)) - 1] - (cost[at - 1] if at else 0) > SPREAD:
+                found += self._above(passage[at:end], term[at:end])
+                at = end
+        return found
+
+    def _above(self, passage: np.ndarray, term: np.ndarray) -> list[tuple[int, int, float]]:
+        floor = THRESHOLD - 1e-9
         place, asked = self._spread(self.block_bounds, term)
         cell = passage[asked] * self.blocks + self.block[place]
         cells, where = np.unique(cell, return_inverse=True)
@@ -179,10 +203,11 @@ class Index:
         ]
 
 
-def passages_of(counts: list[int], terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def passages_of(counts: list[int], terms: np.ndarray, most: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Passages over the words of several documents on end.
 
-    Returns the document of each passage, and the distinct (passage, term) pairs.
+    Returns the document of each passage, and the distinct (passage, term) pairs; with
+    the highest score of each term as ``most``, those of passages that may pass.
     A passage is two steps of words; a document of n steps has max(1, n - 1) passages.
     """
     size = np.array(counts, dtype=np.int64)
@@ -196,25 +221,30 @@ def passages_of(counts: list[int], terms: np.ndarray) -> tuple[np.ndarray, np.nd
     own = step < many[document]
     before = step >= 1
     passage = np.concatenate([(first[document] + step)[own], (first[document] + step - 1)[before]])
+    term = np.concatenate([term[own], term[before]])
+    if most is not None:
+        # Repeated words only add: a passage that fails with them fails without.
+        go = np.bincount(passage, most[term], int(many.sum()))[passage] >= THRESHOLD - 1e-9
+        passage, term = passage[go], term[go]
     vocabulary = int(term.max()) + 1 if len(term) else 1
-    both = np.unique(passage * vocabulary + np.concatenate([term[own], term[before]]))
+    both = np.unique(passage * vocabulary + term)
     return np.repeat(np.arange(len(size)), many), both // vocabulary, both % vocabulary
 
 
-def find_items(texts: list[str | None], index: Index) -> list[list[tuple[int, float, float, float]]]:
+def find_items(texts: list[bytes], index: Index) -> list[list[tuple[int | None, float, float, float]]]:
     """Verified items of each text: (item id, best score, question overlap, answer overlap)."""
-    words = [_hashed((t or "").encode()) for t in texts]
+    words = [_hashed(t) for t in texts]
     terms = index.terms(np.concatenate([*words, np.zeros(0, np.uint64)]))
-    document, passage, term = passages_of([len(w) for w in words], terms)
+    document, passage, term = passages_of([len(w) for w in words], terms, index.word_max)
     best: dict[tuple[int, int], float] = {}
     for at, segment, score in index.above(passage, term, len(document)):
         pair = int(document[at]), index.owner[segment]
         best[pair] = max(score, best.get(pair, 0.0))
-    out: list[list[tuple[int, float, float, float]]] = [[] for _ in texts]
+    out: list[list[tuple[int | None, float, float, float]]] = [[] for _ in texts]
     for (row, number), score in sorted(best.items()):
         item = index.items[number]
-        question, answer = item.overlaps(words[row])
-        if question >= OVERLAP and answer >= OVERLAP:
+        question, answer, every = item.overlaps(words[row])
+        if question >= OVERLAP and answer >= OVERLAP or every >= WHOLE_OVERLAP:
             out[row].append((item.id, score, question, answer))
     return out
 
@@ -244,7 +274,7 @@ def build_indexes(items: DataFrame, key: str = "item_id", text: str = "text") ->
         part = worded.where(F.pmod(F.xxhash64("id", "words"), F.lit(passes)) == number)
         used = part.select(F.explode("words").alias("word")).distinct()
         known = {r["word"]: r["weight"] for r in weights.join(used, "word").collect()}
-        rows = sorted((r["id"] if r["id"] is not None else -1, r["words"]) for r in part.collect())
+        rows = sorted(((r["id"], r["words"]) for r in part.collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
         yield Index(rows, known, whole_size["mean"])
 
 
@@ -258,7 +288,8 @@ def contaminated(
 
     One row per document row and item, its best passage's score with it. Null
     and empty texts match nothing; repeated items are found as often as they
-    stand in the table; empty tables give no rows.
+    stand in the table; a null key of either table stays null; empty tables give no
+    rows. Keys are whole numbers.
     """
     spark = documents.sparkSession
     bounded_batches(spark)
@@ -270,8 +301,10 @@ def contaminated(
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 keys = batch.column("key").to_pylist()
-                hits = find_items(batch.column("text").to_pylist(), sent.value)
-                rows = [(k, *hit) for k, some in zip(keys, hits) for hit in some]
+                rows = []
+                for at, texts in slices(batch):
+                    hits = find_items(texts, sent.value)
+                    rows += [(k, *hit) for k, some in zip(keys[at : at + len(texts)], hits) for hit in some]
                 kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
                 columns = list(zip(*rows)) or [()] * 5
                 yield pa.RecordBatch.from_arrays(
@@ -279,7 +312,7 @@ def contaminated(
                     ["key", "item_id", "score", "question_overlap", "answer_overlap"],
                 )
 
-        found = found.unionByName(narrow.mapInArrow(run, _FOUND))
+        found = found.unionByName(narrow.mapInArrow(lean(run), _FOUND))
     return found.withColumnsRenamed({"key": key, "item_id": item_key})
 
 
@@ -293,8 +326,8 @@ def without_benchmark(documents: DataFrame, items: DataFrame, text: str = "text"
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                hits = find_items(batch.column(text).to_pylist(), sent.value)
-                yield batch.filter(pa.array([not some for some in hits]))
+                clean = [not some for _, texts in slices(batch, text) for some in find_items(texts, sent.value)]
+                yield batch.filter(pa.array(clean, pa.bool_()))
 
-        kept = kept.mapInArrow(run, documents.schema)
+        kept = kept.mapInArrow(lean(run), documents.schema)
     return kept

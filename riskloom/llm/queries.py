@@ -217,7 +217,7 @@ WITH items AS (
 ), parts AS (
   SELECT item_id, size, greatest(1, len(runs) // 4) AS last, runs FROM item_grams
 ), asked AS (
-  SELECT b.doc_id, b.item_id, b.score,
+  SELECT b.doc_id, b.item_id, b.score, runs,
     CASE WHEN len(runs) > last THEN runs[1:len(runs) - last] ELSE runs END AS question,
     runs[len(runs) - last + 1:len(runs)] AS answer,
     list_transform(range(1, len(ws) - size + 2), lambda i: array_to_string(ws[i:i + size - 1], ' ')) AS held
@@ -225,10 +225,12 @@ WITH items AS (
 ), verified AS (
   SELECT doc_id, item_id, round(score, 6) AS score,
     len(list_filter(question, lambda g: list_contains(held, g))) / len(question) AS question_overlap,
-    len(list_filter(answer, lambda g: list_contains(held, g))) / len(answer) AS answer_overlap
+    len(list_filter(answer, lambda g: list_contains(held, g))) / len(answer) AS answer_overlap,
+    len(list_filter(runs, lambda g: list_contains(held, g))) / len(runs) AS whole_overlap
   FROM asked
 )
-SELECT * FROM verified WHERE question_overlap >= 0.5 AND answer_overlap >= 0.5
+SELECT doc_id, item_id, score, question_overlap, answer_overlap FROM verified
+WHERE question_overlap >= 0.5 AND answer_overlap >= 0.5 OR whole_overlap >= 0.7
 """
 
 _NEAREST_SQL = r"""

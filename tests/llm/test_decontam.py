@@ -1,9 +1,10 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from riskloom.llm import decontam
+from riskloom.llm import common, decontam
 
 SCHEMA = "item_id bigint, text string, key string, score double"
 
@@ -45,6 +46,35 @@ def test_question_without_answer_is_no_leak(make, documents, benchmark):
     assert [r["doc_id"] for r in got] == [3]
 
 
+def test_most_of_an_item_is_a_leak(make, documents, benchmark):
+    """34 of 45 words verbatim, without the last quarter; a null item id stays null."""
+    _, text = next((i, t) for i, t in benchmark if len(t.split()) == 45)
+    rows = [(1, "before " + " ".join(text.split()[:34]) + " after"), (None, text)]
+    got = decontam.contaminated(documents(rows), items_of(make, [(None, text), (7, text)])).collect()
+    assert sorted(((r["doc_id"], r["item_id"]) for r in got), key=str) == [(1, 7), (1, None), (None, 7), (None, None)]
+
+
+def test_a_batch_takes_bounded_memory(make, monkeypatch):
+    """Postings that are looked at together are bounded, whatever passages and items share."""
+    rng = random.Random(4)
+    words = [f"v{n}" for n in range(60)]
+    benchmark = [(n, " ".join(rng.choice(words) for _ in range(40))) for n in range(300)]
+    [index] = list(decontam.build_indexes(items_of(make, benchmark)))
+    texts = [" ".join(rng.choice(words) for _ in range(500)).encode() for _ in range(20)]
+    whole = decontam.find_items(texts, index)
+    most = []
+    spread = decontam.Index._spread
+    monkeypatch.setattr(decontam.Index, "_spread", staticmethod(lambda b, t: (most.append(spread(b, t)), most[-1])[1]))
+    monkeypatch.setattr(decontam, "SPREAD", 50_000)
+    assert decontam.find_items(texts, index) == whole
+    assert len(most) > 20 and max(len(place) for place, _ in most) <= 50_000
+    monkeypatch.setattr(common, "SLICE_BYTES", 5000)
+    batch = pa.RecordBatch.from_arrays([pa.array([None, *(t.decode() for t in texts), ""])], ["text"])
+    parts = list(common.slices(batch))
+    assert len(parts) > 5 and [t for _, part in parts for t in part] == [b"", *texts, b""]
+    assert [at for at, _ in parts] == np.cumsum([0, *(len(part) for _, part in parts)])[:-1].tolist()
+
+
 def test_pruning_loses_nothing(make, benchmark):
     """Block maxima against scoring every segment for every passage."""
     [index] = list(decontam.build_indexes(items_of(make, benchmark)))
