@@ -12,9 +12,9 @@ registers form bands, and documents that agree in a band are candidates.
    corrected estimate does not rule it out.
 3. Links join into components. Buckets that still hold several components are
    paired further: documents with too many shingles that no other has are out,
-   the one with fewest is tried against the others, and when that joins nothing
-   more, the pairs left over in these buckets are all compared, so that no link
-   between candidates is lost.
+   the one with fewest is tried against the others, and when that settles few
+   more, the pairs left over in these buckets are all compared, block by block
+   on registers first, so that no link between candidates is lost.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .common import bounded_batches
+from .common import bounded_batches, lean, runs, slices
 
 SHINGLE_WORDS = 5
 
@@ -48,6 +48,9 @@ MANTISSA = 10
 #: threshold below it are not compared in full.
 ESTIMATE_DEVIATIONS = 6.3
 
+#: Documents of a bucket that are compared with each other, or with as many more, at a time.
+BLOCK = 512
+
 #: Up to this many ids (8 MB) go to every task to pick their rows; rows of more
 #: ids are met by a shuffle.
 FEW_IDS = 1_000_000
@@ -208,18 +211,23 @@ def estimate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.clip((agree - chance) / (1 - chance), 0, 1)
 
 
+def least_estimate(percent: int) -> float:
+    """The estimate below which pairs are not compared in full."""
+    share = percent / 100
+    return share - ESTIMATE_DEVIATIONS * (share * (1 - share) / REGISTERS) ** 0.5
+
+
 def profiles(documents: DataFrame, key: str, text: str, percent: int) -> DataFrame:
     """(id, n_shingles, print, bands): the set's size, 128-bit fingerprint and band keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [(t or "").encode() for t in batch.column("text").to_pylist()]
+        for batch, (at, texts) in ((b, part) for b in batches for part in slices(b)):
             sets = shingle_sets(texts)
             some = [s for s in sets if len(s)]
             keys = iter(band_keys(signatures(some), percent).astype("<u8") if some else ())
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("id"),
+                    batch.column("id").slice(at, len(texts)),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
                     pa.array([next(keys).tobytes() if len(s) else None for s in sets], pa.binary()),
@@ -228,7 +236,7 @@ def profiles(documents: DataFrame, key: str, text: str, percent: int) -> DataFra
             )
 
     narrow = documents.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-    return narrow.mapInArrow(run, "id bigint, n_shingles bigint, print binary, bands binary")
+    return narrow.mapInArrow(lean(run), "id bigint, n_shingles bigint, print binary, bands binary")
 
 
 def band_rows(reps: DataFrame, percent: int) -> DataFrame:
@@ -253,9 +261,9 @@ def full_sets(documents: DataFrame, key: str, text: str, wanted: DataFrame) -> D
     """(id, registers, hashes) of the wanted ids, hashes ascending."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = shingle_sets([(t or "").encode() for t in batch.column("text").to_pylist()])
-            batch = batch.filter(pa.array([len(s) > 0 for s in sets]))
+        for batch, (at, texts) in ((b, part) for b in batches for part in slices(b)):
+            sets = shingle_sets(texts)
+            batch = batch.slice(at, len(texts)).filter(pa.array([len(s) > 0 for s in sets]))
             sets = [s for s in sets if len(s)]
             some = signatures(sets)
             yield pa.RecordBatch.from_arrays(
@@ -269,7 +277,7 @@ def full_sets(documents: DataFrame, key: str, text: str, wanted: DataFrame) -> D
 
     narrow = documents.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     # Rows that repeat an id are all compared, as one document with several texts.
-    return _only(narrow, wanted).mapInArrow(run, "id bigint, registers binary, hashes binary")
+    return _only(narrow, wanted).mapInArrow(lean(run), "id bigint, registers binary, hashes binary")
 
 
 def _both(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
@@ -284,8 +292,7 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     The estimate needs the registers alone; full sets travel for the pairs it leaves.
     """
-    share = percent / 100
-    floor = share - ESTIMATE_DEVIATIONS * (share * (1 - share) / REGISTERS) ** 0.5
+    floor = least_estimate(percent)
 
     def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -436,9 +443,11 @@ def _joined_further(
 
     Of the documents that may have further links, the one with fewest shingles
     of its own in a bucket, such as the original of many copies, is tried against
-    those of other components; when that joins nothing more, all pairs left over are.
+    those of other components, while that settles one in ten; then all pairs left
+    over are.
     """
     every, tokens = members.where("n > 2").select("key", "id"), None
+    before = float("inf")
     while True:
         named = every.join(components(links), "id", "left")
         named = _mixed(named.withColumn("component", F.coalesce("component", "id")))
@@ -454,26 +463,73 @@ def _joined_further(
         star = stage(star.join(tried, ["a", "b"], "left_anti"), "star")
         more = stage(confirm(star, sets, percent), "confirmed")
         tried = tried.unionByName(star)
-        if more.limit(1).count():
-            links = links.unionByName(more)
+        links = links.unionByName(more)
+        now = mixed.select("id").distinct().count()
+        if now < 0.9 * before and more.limit(1).count():
+            before = now
             continue
-        # A pair is met in the first bucket the two share only; an id has as many keys as there are bands at most.
-        keys = mixed.groupBy("id").agg(F.collect_set("key").alias("keys"))
-        whole = mixed.join(keys, "id")
-        one, two = (
-            whole.select("key", *(F.col(c).alias(c + x) for c in ("id", "component", "n", "shared", "keys")))
-            for x in "ab"
-        )
-        apart = (F.col("ida") < F.col("idb")) & (F.col("componenta") != F.col("componentb"))
-        enough = (100 + percent) * F.least("shareda", "sharedb") >= percent * (F.col("na") + F.col("nb"))
-        near = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
-        first = F.col("key") == F.array_min(F.array_intersect("keysa", "keysb"))
-        left = one.join(two, "key").where(apart & enough & near & first)
-        left = left.select(F.col("ida").alias("a"), F.col("idb").alias("b"))
-        left = left.join(tried, ["a", "b"], "left_anti")
+        if more.limit(1).count():
+            named = every.join(components(links), "id", "left")
+            named = _mixed(named.withColumn("component", F.coalesce("component", "id")))
+            mixed = _able(named, tokens, percent)
+        left = stage(_left_pairs(mixed, sets, percent).join(tried, ["a", "b"], "left_anti"), "left")
         return links.unionByName(stage(confirm(left, sets, percent), "confirmed"))
 
 
+def _left_pairs(mixed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of one bucket and different components whose registers do not rule out a link.
+
+    A bucket is cut into blocks and every two blocks meet in a task of their own, so
+    no bucket is too large; only pairs that pass the estimate leave it. A pair
+    is looked at in the first bucket that its documents share.
+    """
+    keys = mixed.groupBy("id").agg(F.sort_array(F.collect_set("key")).alias("keys"))
+    sizes = mixed.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).alias("slots"))
+    held = mixed.join(sizes, "key").withColumn("slot", F.pmod(F.xxhash64("id"), F.col("slots")))
+    held = held.join(keys, "id").join(sets.select("id", "registers"), "id")
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1)).alias("other")
+    held = held.select("key", "id", "component", "n", "shared", "keys", "registers", "slot", other)
+    held = held.withColumns({"low": F.least("slot", "other"), "high": F.greatest("slot", "other")}).drop("other")
+    place = ["key", "low", "high"]
+    dealt = held.repartition(*place).sortWithinPartitions(*place)
+    floor = least_estimate(percent)
+
+    def block(rows: pa.Table) -> pa.RecordBatch:
+        ids, component, n, shared, slot = (
+            rows.column(c).to_numpy() for c in ("id", "component", "n", "shared", "slot")
+        )
+        registers = np.frombuffer(b"".join(rows.column("registers").to_pylist()), "<u2").reshape(-1, REGISTERS)
+        named, key = rows.column("keys").to_pylist(), rows.column("key")[0].as_py()
+        apart = rows.column("low")[0].as_py() != rows.column("high")[0].as_py()
+        pairs: set[tuple[int, int]] = set()
+        for i in range(len(ids) - 1):
+            go = (component[i + 1 :] != component[i]) & (ids[i + 1 :] != ids[i])
+            go &= 100 * np.minimum(n[i], n[i + 1 :]) >= percent * np.maximum(n[i], n[i + 1 :])
+            go &= (100 + percent) * np.minimum(shared[i], shared[i + 1 :]) >= percent * (n[i] + n[i + 1 :])
+            if apart:
+                go &= slot[i + 1 :] != slot[i]
+            near = i + 1 + np.flatnonzero(go)
+            near = near[estimate(registers[near], registers[i][None]) >= floor]
+            for j in near.tolist():
+                if min(set(named[i]).intersection(named[j])) == key:
+                    pairs.add((min(ids[i], ids[j]), max(ids[i], ids[j])))
+        columns = zip(*sorted(pairs)) if pairs else ((), ())
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, parts = None, []
+        for where, part in runs(batches, *place):
+            if where != now and parts:
+                yield block(pa.Table.from_batches(parts))
+                parts = []
+            now = where
+            parts.append(part)
+        if parts:
+            yield block(pa.Table.from_batches(parts))
+
+    return dealt.mapInArrow(lean(run), "a bigint, b bigint").distinct()
+
+
 def without_near_copies(
     documents: DataFrame, key: str = "doc_id", text: str = "text", percent: int = LINK_PERCENT
 ) -> DataFrame:
