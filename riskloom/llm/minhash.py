@@ -468,10 +468,10 @@ def _joined_further(
         if now < 0.9 * before and more.limit(1).count():
             before = now
             continue
-        if more.limit(1).count():
-            named = every.join(components(links), "id", "left")
-            named = _mixed(named.withColumn("component", F.coalesce("component", "id")))
-            mixed = _able(named, tokens, percent)
+        # What documents share with other components only shrinks as these join, so it still bounds.
+        masses = mixed.select("key", "id", "n", "shared")
+        named = masses.join(components(links), "id", "left").withColumn("component", F.coalesce("component", "id"))
+        mixed = stage(_mixed(named), "mixed")
         left = stage(_left_pairs(mixed, sets, percent).join(tried, ["a", "b"], "left_anti"), "left")
         return links.unionByName(stage(confirm(left, sets, percent), "confirmed"))
 
