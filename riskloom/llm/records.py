@@ -121,7 +121,10 @@ def write_records(
 
 
 def write_index(spark: SparkSession, path: str, key: str = "doc_id") -> DataFrame:
-    """Index the record files below ``path`` by reading them through, and store the index there."""
+    """Index the record files below ``path`` by reading them through, and store the index there.
+
+    Files come in the order of their least keys, nulls first, whatever their names.
+    """
     bounded_batches(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,9 +147,10 @@ def write_index(spark: SparkSession, path: str, key: str = "doc_id") -> DataFram
     files = file_blocks(spark, f"{path}/records", 1 << 62).select("path", "length")
     schema = "key bigint, path string, offset bigint, length bigint, n_tokens bigint"
     found = stage(spread(files, 2, "path").mapInArrow(run, schema), "record-places")
-    # One row per file: few, whatever the data.
-    each = found.groupBy("path").agg(F.sum("n_tokens").alias("_tokens"))
-    earlier = Window.orderBy("path").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per file. Files follow each other by their first key: names of files do not sort by their numbers.
+    first = F.min(F.struct(F.col("key").isNotNull().alias("known"), "key")).alias("_first")
+    each = found.groupBy("path").agg(F.sum("n_tokens").alias("_tokens"), first)
+    earlier = Window.orderBy("_first", "path").rowsBetween(Window.unboundedPreceding, -1)
     before = each.select("path", F.coalesce(F.sum("_tokens").over(earlier), F.lit(0)).alias("_before"))
     inside = Window.partitionBy("path").orderBy("offset").rowsBetween(Window.unboundedPreceding, -1)
     index = found.withColumn("_inside", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))

@@ -48,6 +48,18 @@ def test_small_reads_join(spark, documents, odd_rows, monkeypatch):
     assert lines == len(odd_rows)
 
 
+def test_files_follow_by_key_not_by_name(spark, tmp_path):
+    (tmp_path / "records").mkdir()
+    keys = {"part-10001.txt": [None, 3], "part-100000.txt": [4, 4, 9], "part-00002.txt": [11]}
+    for name, held in keys.items():
+        packed = [records.pack_record(k, np.array([7] * (n + 2), "<u4").tobytes(), 2) for n, k in enumerate(held)]
+        (tmp_path / "records" / name).write_bytes(b"".join(r + records.GUARD for r in packed))
+    index = records.write_index(spark, f"file://{tmp_path}").orderBy("start").collect()
+    assert [(r["doc_id"], r["start"], r["n_tokens"]) for r in index] == [
+        (None, 0, 2), (3, 2, 3), (4, 5, 2), (4, 7, 3), (9, 10, 4), (11, 14, 2),
+    ]
+
+
 def test_damage_is_noticed():
     record = bytearray(records.pack_record(5, np.array([1, 2, 3], "<u4").tobytes(), 2) + records.GUARD)
     key, ids, end = records.unpack_record(memoryview(bytes(record)), 0, "x")
