@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import stage
 from .bpe import byte_bpe, encoded, text_batches
 from .common import bounded_batches, public_vocabulary
 from .ranges import RangeReader, file_blocks, spread, write_bytes
@@ -120,19 +121,18 @@ def count_tokens(
 
     blocks = spread(file_blocks(spark, path, block_bytes), 4)
     schema = "path string, block bigint, n_ends bigint, first_end bigint, last_end bigint, inner array<bigint>"
-    found = blocks.mapInArrow(run, schema)
-    # The scan: one row per block, each file on its own.
+    found = stage(blocks.mapInArrow(run, schema), "token-blocks")
+    # The scan: four numbers per block, each file on its own. The counts stay where they are until then.
     earlier = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = found.select(
+    before = found.select(
         "path",
-        "n_ends",
-        "inner",
-        "first_end",
+        "block",
         F.coalesce(F.sum("n_ends").over(earlier), F.lit(0)).alias("_before"),
         F.coalesce(F.last("last_end", ignorenulls=True).over(earlier), F.lit(-1)).alias("_carry"),
     )
+    carried = found.where("n_ends > 0").hint("merge").join(before, ["path", "block"])
     lengths = F.concat(F.array(F.col("first_end") - F.col("_carry") - 1), F.col("inner"))
-    each = carried.where("n_ends > 0").select("path", "_before", F.posexplode(lengths).alias("_at", "n_tokens"))
+    each = carried.select("path", "_before", F.posexplode(lengths).alias("_at", "n_tokens"))
     return each.select("path", (F.col("_before") + F.col("_at")).alias("ordinal"), "n_tokens")
 
 
