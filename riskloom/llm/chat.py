@@ -67,7 +67,7 @@ def format_chats(
     Joined by ``place``, the segments of a conversation are its sequence;
     ``start`` is where a segment begins in it. ``ids`` are little-endian 32-bit,
     ``mask`` has a byte per id. Turns are ordered by ``turn``, nulls first, then
-    by role and text. Null roles and texts count as empty; rows without a
+    by role and a digest of the text. Null roles and texts count as empty; rows without a
     conversation id belong together; repeated rows are turns of their own.
     """
     vocabulary = vocabulary or public_vocabulary()
