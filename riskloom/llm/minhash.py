@@ -258,7 +258,7 @@ def _only(rows: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def full_sets(documents: DataFrame, key: str, text: str, wanted: DataFrame) -> DataFrame:
-    """(id, registers, hashes) of the wanted ids, hashes ascending."""
+    """(id, n, registers, hashes) of the wanted ids, n the number of hashes, hashes ascending."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, (at, texts) in ((b, part) for b in batches for part in slices(b)):
@@ -269,15 +269,16 @@ def full_sets(documents: DataFrame, key: str, text: str, wanted: DataFrame) -> D
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id"),
+                    pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([s.astype("<u2").tobytes() for s in some], pa.binary()),
                     pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary()),
                 ],
-                ["id", "registers", "hashes"],
+                ["id", "n", "registers", "hashes"],
             )
 
     narrow = documents.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     # Rows that repeat an id are all compared, as one document with several texts.
-    return _only(narrow, wanted).mapInArrow(lean(run), "id bigint, registers binary, hashes binary")
+    return _only(narrow, wanted).mapInArrow(lean(run), "id bigint, n bigint, registers binary, hashes binary")
 
 
 def _both(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
@@ -396,23 +397,21 @@ def _mixed(rows: DataFrame) -> DataFrame:
 
 
 def _tokens(sets: DataFrame, docs: DataFrame) -> DataFrame:
-    """(id, n, hash): every shingle of ``docs``, with the size of its set."""
+    """(id, hash): every shingle of ``docs``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts = [np.frombuffer(h, "<i8") for h in batch.column("hashes").to_pylist()]
-            sizes = [len(p) for p in parts]
-            ids = np.repeat(batch.column("id").to_numpy(), sizes)
-            size = np.repeat(np.array(sizes, dtype=np.int64), sizes)
+            ids = np.repeat(batch.column("id").to_numpy(), [len(p) for p in parts])
             hashes = np.concatenate([*parts, np.zeros(0, "<i8")])
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(size), pa.array(hashes)], ["id", "n", "hash"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(hashes)], ["id", "hash"])
 
     wanted = sets.join(docs, "id", "left_semi").select("id", "hashes")
-    return wanted.mapInArrow(run, "id bigint, n bigint, hash bigint")
+    return wanted.mapInArrow(run, "id bigint, hash bigint")
 
 
 def _able(mixed: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
-    """Rows of ``mixed`` that may have a link to another component of their bucket, with (n, shared).
+    """Rows (key, id, component, n) of ``mixed`` that may have a link to another component of their bucket, with (shared).
 
     What two documents of different components have in common, other components
     have in common too, and a link needs percent / (100 + percent) of both sizes together. Documents
@@ -423,9 +422,9 @@ def _able(mixed: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
     while True:
         held = tokens.join(mixed.select("id", "component").distinct(), "id")
         met = held.groupBy("hash").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        met = met.where("low <> high").select("hash", F.lit(1).alias("met"))
-        mass = held.join(met, "hash", "left").groupBy("id").agg(F.max("n").alias("n"), F.count("met").alias("shared"))
-        rows = mixed.select("key", "id", "component").join(mass, "id")
+        met = met.where("low <> high").select("hash")
+        shared = held.join(met, "hash").groupBy("id").agg(F.count("*").alias("shared"))
+        rows = mixed.select("key", "id", "component", "n").join(shared, "id")
         least = rows.groupBy("key").agg(F.min("n").alias("least"))
         partner = F.greatest(F.col("least"), F.ceil(F.col("n") * percent / 100))
         able = (100 + percent) * F.col("shared") >= percent * (F.col("n") + partner)
@@ -436,6 +435,20 @@ def _able(mixed: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
         before = now
 
 
+def _contracted(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """``rows`` (key, id, component, …) after ``links`` between their documents, with what is still mixed.
+
+    Only the components that the links touch are joined, not all documents anew.
+    """
+    named = rows.select("id", "component").distinct()
+    met = links.join(named.select(F.col("id").alias("a"), F.col("component").alias("x")), "a")
+    met = met.join(named.select(F.col("id").alias("b"), F.col("component").alias("y")), "b")
+    joined = components(met.select(F.col("x").alias("a"), F.col("y").alias("b")))
+    joined = joined.select(F.col("id").alias("component"), F.col("component").alias("into"))
+    rows = rows.join(joined, "component", "left").withColumn("component", F.coalesce("into", "component"))
+    return _mixed(rows.drop("into"))
+
+
 def _joined_further(
     members: DataFrame, tried: DataFrame, links: DataFrame, sets: DataFrame, percent: int
 ) -> DataFrame:
@@ -444,18 +457,19 @@ def _joined_further(
     Of the documents that may have further links, the one with fewest shingles
     of its own in a bucket, such as the original of many copies, is tried against
     those of other components, while that settles one in ten; then all pairs left
-    over are.
+    over are. What a document shares with other components only shrinks as these
+    join, so one that left a bucket has no link there later either, and every
+    round looks only at what the one before it left.
     """
-    every, tokens = members.where("n > 2").select("key", "id"), None
+    rows = members.where("n > 2").select("key", "id").join(components(links), "id", "left")
+    rows = stage(_mixed(rows.withColumn("component", F.coalesce("component", "id"))), "mixed")
+    tokens = stage(_tokens(sets, rows.select("id").distinct()), "tokens")
+    # An id that repeats with several texts counts with the longest.
+    sizes = sets.groupBy("id").agg(F.max("n").alias("n"))
+    rows = stage(rows.join(sizes, "id"), "sized")
     before = float("inf")
     while True:
-        named = every.join(components(links), "id", "left")
-        named = _mixed(named.withColumn("component", F.coalesce("component", "id")))
-        if tokens is None:
-            named = stage(named, "mixed")
-            every = named.select("key", "id")
-            tokens = stage(_tokens(sets, every.select("id").distinct()), "tokens")
-        mixed = _able(named, tokens, percent)
+        mixed = _able(rows, tokens, percent)
         share = F.col("shared") / F.col("n")
         best = mixed.groupBy("key").agg(F.max(F.struct(share, -F.col("id"), "component", "id")).alias("best"))
         star = mixed.join(best, "key").where("component <> best.component")
@@ -465,15 +479,12 @@ def _joined_further(
         tried = tried.unionByName(star)
         links = links.unionByName(more)
         now = mixed.select("id").distinct().count()
-        if now < 0.9 * before and more.limit(1).count():
-            before = now
-            continue
-        # What documents share with other components only shrinks as these join, so it still bounds.
-        masses = mixed.select("key", "id", "n", "shared")
-        named = masses.join(components(links), "id", "left").withColumn("component", F.coalesce("component", "id"))
-        mixed = stage(_mixed(named), "mixed")
-        left = stage(_left_pairs(mixed, sets, percent).join(tried, ["a", "b"], "left_anti"), "left")
-        return links.unionByName(stage(confirm(left, sets, percent), "confirmed"))
+        rows = stage(_contracted(mixed, more), "mixed")
+        if now >= 0.9 * before or not more.limit(1).count():
+            break
+        before = now
+    left = stage(_left_pairs(rows, sets, percent).join(tried, ["a", "b"], "left_anti"), "left")
+    return links.unionByName(stage(confirm(left, sets, percent), "confirmed"))
 
 
 def _left_pairs(mixed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
