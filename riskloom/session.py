@@ -15,6 +15,7 @@ PARTITION_MB = 128
 
 _scope: ContextVar[str | None] = ContextVar("riskloom_scratch", default=None)
 _local_folders: dict[str, str] = {}
+_proven: dict[tuple[str, str], bool] = {}
 
 
 def build_session(
@@ -50,27 +51,66 @@ def build_session(
     return builder.getOrCreate()
 
 
+def _on_one_machine(spark: SparkSession) -> bool:
+    """Whether the session's tasks run in the driver itself; ``local-cluster`` has executors of its own."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
+def _reaches_all(spark: SparkSession, folder: str) -> bool:
+    """Whether rows that the executors there are now write below ``folder`` are all there when read again."""
+    path = f"{folder}/riskloom/probe-{uuid.uuid4().hex}"
+    tasks = 2 * max(2, spark.sparkContext.defaultParallelism)
+    try:
+        spark.range(0, tasks, 1, tasks).write.parquet(path)
+        return spark.read.schema("id bigint").parquet(path).count() == tasks
+    finally:
+        _delete(spark, path)
+
+
+def _is_shared(spark: SparkSession, folder: str) -> bool:
+    """Whether all machines reach ``folder``; one of a machine's own file system has to prove it, once a session."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    if path.getFileSystem(spark._jsc.hadoopConfiguration()).getUri().getScheme() != "file":
+        return True
+    key = spark.sparkContext.applicationId, folder
+    if key not in _proven:
+        try:
+            _proven[key] = _reaches_all(spark, folder)
+        except Exception as failed:
+            # Without the folder, or with part of the files only, writers fail in many ways.
+            raise RuntimeError(f"{folder} is a folder of one machine, or cannot be written: {failed}") from failed
+    return _proven[key]
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
+    """The folder every executor can reach: ``spark.checkpoint.dir``, else the context's checkpoint
+    folder, else one in the warehouse.
 
-    Only a local session may go without the setting; it gets a temporary folder.
-    On a cluster a path of the machine's own file system is refused, unless
-    ``spark.riskloom.sharedMount`` says that all machines mount it.
+    Only a session whose tasks run in the driver gets a temporary folder where none is
+    named. On a cluster a path of the machines' own file system is tried first: it is
+    refused if rows that executors write there are not all read again. That shows what the executors
+    there are at the time reach; ``spark.riskloom.sharedMount`` says that all machines mount it.
     """
+    alone = _on_one_machine(spark)
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         mounted = spark.conf.get("spark.riskloom.sharedMount", "false") == "true"
-        if not mounted and not spark.sparkContext.master.startswith("local"):
-            path = spark._jvm.org.apache.hadoop.fs.Path(named)
-            if path.getFileSystem(spark._jsc.hadoopConfiguration()).getUri().getScheme() == "file":
-                raise RuntimeError("spark.checkpoint.dir is a folder of one machine")
+        # Executors of a local-cluster share the machine's file system with the driver.
+        if not (alone or mounted or spark.sparkContext.master.startswith("local")) and not _is_shared(spark, named):
+            raise RuntimeError("spark.checkpoint.dir is a folder of one machine")
         return named.rstrip("/")
     app = spark.sparkContext.applicationId
-    if not spark.sparkContext.master.startswith("local"):
+    if alone:
+        if app not in _local_folders:
+            _local_folders[app] = "file:" + tempfile.mkdtemp(prefix="riskloom-")
+        return _local_folders[app]
+    # Tables are written by all executors there, so both have to be shared.
+    set_ = spark._jsc.sc().getCheckpointDir()
+    folder = set_.get() if set_.isDefined() else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/riskloom-scratch"
+    if not _is_shared(spark, folder):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    if app not in _local_folders:
-        _local_folders[app] = "file:" + tempfile.mkdtemp(prefix="riskloom-")
-    return _local_folders[app]
+    return folder.rstrip("/")
 
 
 def _app_folder(spark: SparkSession) -> str:

@@ -186,3 +186,43 @@ def test_a_folder_of_one_machine_is_refused_on_a_cluster(spark):
     mounted = _Cluster(spark, "file:/mnt/x/")
     mounted._conf["spark.riskloom.sharedMount"] = "true"
     assert session.shared_folder(mounted) == "file:/mnt/x"
+
+
+class _Elsewhere:
+    """The test session as if its tasks ran on other machines, with the settings given."""
+
+    def __init__(self, spark, conf):
+        self._spark = spark
+        self.conf = type("F", (), {"get": lambda _, key, default=None: conf.get(key, default)})()
+        self.sparkContext = type(
+            "C", (), {"master": "spark://a:7077", "applicationId": uuid.uuid4().hex, "defaultParallelism": 4}
+        )()
+
+    def __getattr__(self, name):
+        return getattr(self._spark, name)
+
+
+def test_a_folder_that_executors_reach_is_taken_on_a_cluster(spark, tmp_path, monkeypatch):
+    for folder in (f"file:{tmp_path}/x", f"{tmp_path}/y"):
+        cluster = _Elsewhere(spark, {"spark.checkpoint.dir": folder})
+        assert session.shared_folder(cluster) == folder
+        assert session.scratch_path(cluster, "a").startswith(f"{folder}/riskloom/")
+        assert not list(tmp_path.rglob("probe-*"))
+    monkeypatch.setattr(session, "_reaches_all", lambda *_: False)
+    with pytest.raises(RuntimeError, match="one machine"):
+        session.shared_folder(_Elsewhere(spark, {"spark.checkpoint.dir": f"file:{tmp_path}/z"}))
+
+
+def test_without_a_checkpoint_folder_a_cluster_stages_in_the_warehouse(spark, tmp_path, monkeypatch):
+    conf = {"spark.sql.warehouse.dir": f"file:{tmp_path}/tables/"}
+    set_ = spark._jsc.sc().getCheckpointDir()
+    if set_.isDefined():  # by the machine's defaults
+        assert session.shared_folder(_Elsewhere(spark, conf)) == set_.get()
+        none = type("O", (), {"isDefined": lambda _: False})()
+        context = type("S", (), {"getCheckpointDir": lambda _: none})()
+        held = type("J", (), {"sc": lambda _: context, "hadoopConfiguration": lambda _: spark._jsc.hadoopConfiguration()})()
+        monkeypatch.setattr(_Elsewhere, "_jsc", held, raising=False)
+    assert session.shared_folder(_Elsewhere(spark, conf)) == f"file:{tmp_path}/tables/riskloom-scratch"
+    monkeypatch.setattr(session, "_reaches_all", lambda *_: False)
+    with pytest.raises(RuntimeError, match="set spark.checkpoint.dir"):
+        session.shared_folder(_Elsewhere(spark, conf))
