@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import reduce
+from math import isqrt
 
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -70,8 +71,7 @@ CUES = {
 #: Characters before a candidate that the trees see, as far as the candidate before it.
 CONTEXT = 24
 
-#: Texts whose candidates the trees are trained on, at most about; trees and their depth.
-SAMPLE_ROWS = 20_000
+#: Trees and their depth.
 TREES, DEPTH = 12, 3
 
 #: Share of the selected examples that must be personal data, among those of a kind kept aside.
@@ -347,35 +347,44 @@ def _refuted(one: Column) -> Column:
     return (one["fits"] == 0) | ((one["cue"] == 0) & glued)
 
 
-def train(documents: DataFrame, key: str = "doc_id", text: str = "text", rows: int = SAMPLE_ROWS) -> Selector:
-    """Fit trees and thresholds on about ``rows`` texts, drawn by a hash.
+def _counted(documents: DataFrame, key: str, text: str) -> DataFrame:
+    """(kind, FEATURES, label, side, weight): the examples of all texts, each distinct one with its number.
 
-    The examples of half of these texts calibrate. A kind without base matches there gets no
-    threshold and adds nothing; without examples of both labels no kind does.
+    By a hash of the key, side 0 is for learning and side 1 for calibration.
     """
-    total = documents.count()
-    share = min(1.0, rows / max(1, total))
-    parts = 1 << 20
-    drawn = documents.where(F.pmod(F.xxhash64(F.lit(7), key), F.lit(parts)) < int(share * parts))
-    sides = _sides(drawn, key, text)
+    sides = _sides(documents, key, text)
     made = sides.select("key", F.explode(F.concat(*map(_examples, KINDS))).alias("x")).select("key", "x.one", "x.label")
     spans = F.concat(*(F.transform(k, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))) for k in KINDS))
     free = sides.select("key", F.explode(_apart(spans, F.col("candidates"))).alias("one"))
     free = free.where(_refuted(F.col("one"))).withColumn("label", F.lit(0.0))
-    found = stage(
-        made.unionByName(free).select("one.*", "label", F.pmod(F.xxhash64(F.lit(11), "key"), F.lit(2)).alias("side")),
-        "candidates",
-    )
+    side = F.pmod(F.xxhash64(F.lit(11), "key"), F.lit(2)).alias("side")
+    columns = ["kind", *FEATURES, "label", "side"]
+    every = made.unionByName(free).select("one.*", "label", side)
+    # Few and small numbers describe a candidate, so most are like many others.
+    return every.groupBy(*columns).agg(F.count("*").cast("double").alias("weight")).sortWithinPartitions(*columns)
+
+
+def train(documents: DataFrame, key: str = "doc_id", text: str = "text") -> Selector:
+    """Fit trees and thresholds on all texts.
+
+    The examples of half of the texts calibrate. A kind without base matches there gets no
+    threshold and adds nothing; without examples of both labels no kind does.
+    """
+    found = stage(_counted(documents, key, text), "candidates")
     table = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(found)
     learn, check = table.where("side = 0"), table.where("side = 1")
     if learn.select("label").distinct().count() < 2:
         return Selector()
-    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=5, labelCol="label").fit(learn)
-    selector = Selector(model)
+    # MLlib looks at the square of the bins of rows for its splits, so that these are all there are.
+    bins = max(32, isqrt(learn.count()) + 1)
+    trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, maxBins=bins, seed=5, labelCol="label", weightCol="weight")
+    selector = Selector(trees.fit(learn))
     one = F.struct(*FEATURES)
-    margins = check.select("kind", F.round(selector.margin(one), 3).alias("margin"), "label").groupBy("kind", "margin")
+    margins = check.select("kind", F.round(selector.margin(one), 3).alias("margin"), "label", "weight")
     # Margins of a few small trees take few values.
-    steps = margins.agg(F.sum("label").alias("good"), F.count("*").alias("n")).orderBy(F.desc("margin")).collect()
+    steps = margins.groupBy("kind", "margin").agg(
+        F.sum(F.col("label") * F.col("weight")).alias("good"), F.sum("weight").alias("n")
+    ).orderBy(F.desc("margin")).collect()
     good, n = dict.fromkeys(KINDS, 0.0), dict.fromkeys(KINDS, 0.0)
     for row in steps:
         kind = row["kind"]

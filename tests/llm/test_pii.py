@@ -176,3 +176,21 @@ def test_redaction(documents):
 def test_training_without_candidates(documents):
     for rows in ([], [(1, None), (2, "no candidates")]):
         assert pii.find_personal_data(documents(rows), pii.train(documents(rows))).count() == len(rows)
+
+
+def test_every_text_is_learned_from(spark):
+    """More texts than were once drawn: each one's examples count."""
+    rows = spark.range(0, 24_000, 1, 8).select(F.col("id").alias("doc_id"), F.lit("see 1.2.3.4 or a@b.cc").alias("text"))
+    few = pii._counted(rows.where("doc_id < 600"), "doc_id", "text").agg(F.sum("weight")).first()[0]
+    counted = pii._counted(rows, "doc_id", "text").agg(F.sum("weight"), F.count("*")).first()
+    assert few and counted[0] == 40 * few and counted[1] < 100
+
+
+def test_a_kind_of_few_texts_among_many_gets_its_threshold(spark):
+    """The only texts with addresses are ones that a draw of 20,000 from these would leave out."""
+    number = F.concat(F.lit("+49 30 555 "), F.lpad((F.col("id") % 9000 + 1000).cast("string"), 4, "0"), F.lit(" or "), F.col("id"))
+    drawn = F.pmod(F.xxhash64(F.lit(7), F.col("id")), F.lit(1 << 20)) < int(20 / 24 * (1 << 20))
+    ip = F.concat(F.lit(" and 10.1.2."), F.col("id") % 250)
+    text = F.concat(number, F.when(~drawn, ip).otherwise(""))
+    selector = pii.train(spark.range(0, 24_000, 1, 8).select(F.col("id").alias("doc_id"), text.alias("text")))
+    assert {"phone", "ip"} <= set(selector.least)
