@@ -10,11 +10,11 @@ registers form bands, and documents that agree in a band are candidates.
 2. In each band bucket every document is paired with the bucket's first and
    last, not with all others, and a pair is confirmed on the full sets if its
    corrected estimate does not rule it out.
-3. Links join into components. Buckets that still hold several components are
-   paired further: documents with too many shingles that no other has are out,
-   the one with fewest is tried against the others, and when that settles few
-   more, the pairs left over in these buckets are all compared, block by block
-   on registers first, so that no link between candidates is lost.
+3. Links join into components. In buckets that still hold several components,
+   documents with too many shingles that no other has are out, and the others
+   are all compared, block by block: a block joins what it finds linked as it
+   goes, so it compares on registers, and then on full sets, only documents that
+   are not yet joined. No link between candidates is lost.
 """
 
 from __future__ import annotations
@@ -48,8 +48,10 @@ MANTISSA = 10
 #: threshold below it are not compared in full.
 ESTIMATE_DEVIATIONS = 6.3
 
-#: Documents of a bucket that are compared with each other, or with as many more, at a time.
+#: Documents of a bucket that are compared with each other, or with as many more, at a time,
+#: and about the bytes of their sets.
 BLOCK = 512
+BLOCK_BYTES = 16 << 20
 
 #: Up to this many ids (8 MB) go to every task to pick their rows; rows of more
 #: ids are met by a shuffle.
@@ -379,7 +381,7 @@ def near_duplicates(
     wanted = stage(members.select("id").distinct(), "wanted")
     sets = stage(full_sets(documents, key, text, wanted), "sets")
     links = stage(confirm(pairs, sets, percent), "confirmed")
-    links = _joined_further(members, pairs, links, sets, percent)
+    links = links.unionByName(stage(_left_links(members, links, sets, percent), "left"))
     every_link = links.unionByName(copies.select(F.col("rep").alias("a"), F.col("id").alias("b")))
     found = stage(components(every_link), "components")
     return (
@@ -414,107 +416,62 @@ def _able(mixed: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
     """Rows (key, id, component, n) of ``mixed`` that may have a link to another component of their bucket, with (shared).
 
     What two documents of different components have in common, other components
-    have in common too, and a link needs percent / (100 + percent) of both sizes together. Documents
-    with too many shingles of their own leave, which may leave others with too
-    many; this goes on while it takes away one in twenty.
+    have in common too, and a link needs percent / (100 + percent) of both sizes together.
     """
-    before = mixed.select("id").distinct().count()
-    while True:
-        held = tokens.join(mixed.select("id", "component").distinct(), "id")
-        met = held.groupBy("hash").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        met = met.where("low <> high").select("hash")
-        shared = held.join(met, "hash").groupBy("id").agg(F.count("*").alias("shared"))
-        rows = mixed.select("key", "id", "component", "n").join(shared, "id")
-        least = rows.groupBy("key").agg(F.min("n").alias("least"))
-        partner = F.greatest(F.col("least"), F.ceil(F.col("n") * percent / 100))
-        able = (100 + percent) * F.col("shared") >= percent * (F.col("n") + partner)
-        mixed = stage(_mixed(rows.join(least, "key").where(able).drop("least")), "able")
-        now = mixed.select("id").distinct().count()
-        if now >= 0.95 * before:
-            return mixed
-        before = now
+    held = tokens.join(mixed.select("id", "component").distinct(), "id")
+    met = held.groupBy("hash").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    met = met.where("low <> high").select("hash")
+    shared = held.join(met, "hash").groupBy("id").agg(F.count("*").alias("shared"))
+    rows = mixed.select("key", "id", "component", "n").join(shared, "id")
+    least = rows.groupBy("key").agg(F.min("n").alias("least"))
+    partner = F.greatest(F.col("least"), F.ceil(F.col("n") * percent / 100))
+    able = (100 + percent) * F.col("shared") >= percent * (F.col("n") + partner)
+    return _mixed(rows.join(least, "key").where(able).drop("least"))
 
 
-def _contracted(rows: DataFrame, links: DataFrame) -> DataFrame:
-    """``rows`` (key, id, component, …) after ``links`` between their documents, with what is still mixed.
+def _left_links(members: DataFrame, links: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between members of one bucket that its first and last did not bring together.
 
-    Only the components that the links touch are joined, not all documents anew.
-    """
-    named = rows.select("id", "component").distinct()
-    met = links.join(named.select(F.col("id").alias("a"), F.col("component").alias("x")), "a")
-    met = met.join(named.select(F.col("id").alias("b"), F.col("component").alias("y")), "b")
-    joined = components(met.select(F.col("x").alias("a"), F.col("y").alias("b")))
-    joined = joined.select(F.col("id").alias("component"), F.col("component").alias("into"))
-    rows = rows.join(joined, "component", "left").withColumn("component", F.coalesce("into", "component"))
-    return _mixed(rows.drop("into"))
-
-
-def _joined_further(
-    members: DataFrame, tried: DataFrame, links: DataFrame, sets: DataFrame, percent: int
-) -> DataFrame:
-    """Links between members of one bucket that its first and last did not bring together.
-
-    Of the documents that may have further links, the one with fewest shingles
-    of its own in a bucket, such as the original of many copies, is tried against
-    those of other components, while that settles one in ten; then all pairs left
-    over are. What a document shares with other components only shrinks as these
-    join, so one that left a bucket has no link there later either, and every
-    round looks only at what the one before it left.
+    They may leave out pairs that are joined without them.
     """
     rows = members.where("n > 2").select("key", "id").join(components(links), "id", "left")
     rows = stage(_mixed(rows.withColumn("component", F.coalesce("component", "id"))), "mixed")
-    tokens = stage(_tokens(sets, rows.select("id").distinct()), "tokens")
-    # An id that repeats with several texts counts with the longest.
-    sizes = sets.groupBy("id").agg(F.max("n").alias("n"))
-    rows = stage(rows.join(sizes, "id"), "sized")
-    before = float("inf")
-    while True:
-        mixed = _able(rows, tokens, percent)
-        share = F.col("shared") / F.col("n")
-        best = mixed.groupBy("key").agg(F.max(F.struct(share, -F.col("id"), "component", "id")).alias("best"))
-        star = mixed.join(best, "key").where("component <> best.component")
-        star = star.select(*_ordered(F.col("id"), F.col("best.id"))).distinct()
-        star = stage(star.join(tried, ["a", "b"], "left_anti"), "star")
-        more = stage(confirm(star, sets, percent), "confirmed")
-        tried = tried.unionByName(star)
-        links = links.unionByName(more)
-        now = mixed.select("id").distinct().count()
-        rows = stage(_contracted(mixed, more), "mixed")
-        if now >= 0.9 * before or not more.limit(1).count():
-            break
-        before = now
-    left = stage(_left_pairs(rows, sets, percent).join(tried, ["a", "b"], "left_anti"), "left")
-    return links.unionByName(stage(confirm(left, sets, percent), "confirmed"))
+    tokens = _tokens(sets, rows.select("id").distinct())
+    # An id that repeats with several texts counts with the shortest, which rules out the least.
+    sizes = sets.groupBy("id").agg(F.min("n").alias("n"))
+    return _compared(stage(_able(rows.join(sizes, "id"), tokens, percent), "able"), sets, percent)
 
 
-def _left_pairs(mixed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of one bucket and different components whose registers do not rule out a link.
+def _compared(mixed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that join the documents of one bucket and different components as all their links do.
 
     A bucket is cut into blocks and every two blocks meet in a task of their own, so
-    no bucket is too large; only pairs that pass the estimate leave it. A pair
-    is looked at in the first bucket that its documents share.
+    no bucket is too large; only links leave it. A pair is looked at in the first
+    bucket that its documents share.
     """
     keys = mixed.groupBy("id").agg(F.sort_array(F.collect_set("key")).alias("keys"))
-    sizes = mixed.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).alias("slots"))
+    blocks = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") * 8 / BLOCK_BYTES))
+    sizes = mixed.groupBy("key").agg(blocks.alias("slots"))
     held = mixed.join(sizes, "key").withColumn("slot", F.pmod(F.xxhash64("id"), F.col("slots")))
-    held = held.join(keys, "id").join(sets.select("id", "registers"), "id")
+    held = held.join(keys, "id").join(sets.select("id", "registers", "hashes"), "id")
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1)).alias("other")
-    held = held.select("key", "id", "component", "n", "shared", "keys", "registers", "slot", other)
+    held = held.select("key", "id", "component", "shared", "keys", "registers", "hashes", "slot", other)
     held = held.withColumns({"low": F.least("slot", "other"), "high": F.greatest("slot", "other")}).drop("other")
     place = ["key", "low", "high"]
     dealt = held.repartition(*place).sortWithinPartitions(*place)
     floor = least_estimate(percent)
 
     def block(rows: pa.Table) -> pa.RecordBatch:
-        ids, component, n, shared, slot = (
-            rows.column(c).to_numpy() for c in ("id", "component", "n", "shared", "slot")
-        )
+        ids, shared, slot = (rows.column(c).to_numpy() for c in ("id", "shared", "slot"))
+        joined = rows.column("component").to_numpy().copy()
         registers = np.frombuffer(b"".join(rows.column("registers").to_pylist()), "<u2").reshape(-1, REGISTERS)
-        named, key = rows.column("keys").to_pylist(), rows.column("key")[0].as_py()
+        hashes = [np.frombuffer(h.as_buffer(), "<u8") for h in rows.column("hashes")]
+        n = np.array([len(h) for h in hashes])
+        named, key = [frozenset(k) for k in rows.column("keys").to_pylist()], rows.column("key")[0].as_py()
         apart = rows.column("low")[0].as_py() != rows.column("high")[0].as_py()
-        pairs: set[tuple[int, int]] = set()
+        found: list[tuple[int, int]] = []
         for i in range(len(ids) - 1):
-            go = (component[i + 1 :] != component[i]) & (ids[i + 1 :] != ids[i])
+            go = (joined[i + 1 :] != joined[i]) & (ids[i + 1 :] != ids[i])
             go &= 100 * np.minimum(n[i], n[i + 1 :]) >= percent * np.maximum(n[i], n[i + 1 :])
             go &= (100 + percent) * np.minimum(shared[i], shared[i + 1 :]) >= percent * (n[i] + n[i + 1 :])
             if apart:
@@ -522,9 +479,13 @@ def _left_pairs(mixed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             near = i + 1 + np.flatnonzero(go)
             near = near[estimate(registers[near], registers[i][None]) >= floor]
             for j in near.tolist():
-                if min(set(named[i]).intersection(named[j])) == key:
-                    pairs.add((min(ids[i], ids[j]), max(ids[i], ids[j])))
-        columns = zip(*sorted(pairs)) if pairs else ((), ())
+                if joined[j] == joined[i] or min(named[i] & named[j]) != key:
+                    continue
+                both = len(np.intersect1d(hashes[i], hashes[j], assume_unique=True))
+                if 100 * both >= percent * (len(hashes[i]) + len(hashes[j]) - both):
+                    found.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
+                    joined[joined == joined[j]] = joined[i]
+        columns = zip(*found) if found else ((), ())
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -118,3 +118,17 @@ def test_components_of_a_path_and_a_cycle(make):
 def test_empty_table(documents):
     assert minhash.near_duplicates(documents([])).collect() == []
     assert minhash.without_near_copies(documents([(1, None)])).count() == 1
+
+
+def test_left_over_members_settle_in_one_pass(documents, monkeypatch):
+    """Whatever is borderline in a bucket, components are made anew once before and once after, also over several blocks."""
+    made, compared = [], []
+    components, left = minhash.components, minhash._compared
+    monkeypatch.setattr(minhash, "components", lambda links: made.append(1) or components(links))
+    monkeypatch.setattr(minhash, "_compared", lambda *a: compared.append(1) or left(*a))
+    monkeypatch.setattr(minhash, "BLOCK", 20)
+    rng = random.Random(9)
+    base = [f"w{n}" for n in range(150)]
+    rows = [(n, edited(rng, base, rng.choice([2, 3, 4]))) for n in range(100)]
+    assert sorted(map(tuple, minhash.near_duplicates(documents(rows)).collect())) == by_hand(rows)
+    assert len(made) == 2 and len(compared) == 1
