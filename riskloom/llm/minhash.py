@@ -25,7 +25,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stage
@@ -254,6 +254,16 @@ def band_rows(reps: DataFrame, percent: int) -> DataFrame:
     return reps.select("id", "bands").mapInArrow(run, "key bigint, id bigint")
 
 
+def bucket_members(bands: DataFrame) -> DataFrame:
+    """(key, id, first, last, n): rows of the buckets that hold several ids, with their first, last and number of rows.
+
+    Bands are moved once: a window reads the rows that an aggregate and a join would each have moved.
+    """
+    bucket = Window.partitionBy("key")
+    ends = {"first": F.min("id").over(bucket), "last": F.max("id").over(bucket), "n": F.count("*").over(bucket)}
+    return bands.withColumns(ends).where("first <> last")
+
+
 def _only(rows: DataFrame, ids: DataFrame) -> DataFrame:
     """Rows whose id is one of ``ids``, a staged table of distinct ids."""
     return rows.join(F.broadcast(ids) if ids.count() <= FEW_IDS else ids, "id", "left_semi")
@@ -374,9 +384,7 @@ def near_duplicates(
     copies = stage(copies.distinct(), "copies")
     # By print too: a key that repeats with another text goes on with that one.
     reps = known.join(copies, ["id", "print"], "left_anti")
-    bands = band_rows(reps, percent)
-    shared = bands.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count("*").alias("n"))
-    members = stage(bands.join(shared.where("first <> last"), "key"), "members")
+    members = stage(bucket_members(band_rows(reps, percent)), "members")
     pairs = stage(_pairs(members, "first", "last"), "pairs")
     wanted = stage(members.select("id").distinct(), "wanted")
     sets = stage(full_sets(documents, key, text, wanted), "sets")
@@ -399,7 +407,7 @@ def _mixed(rows: DataFrame) -> DataFrame:
 
 
 def _tokens(sets: DataFrame, docs: DataFrame) -> DataFrame:
-    """(id, hash): every shingle of ``docs``."""
+    """(id, hash): every shingle of ``docs``, a staged table of distinct ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -408,8 +416,7 @@ def _tokens(sets: DataFrame, docs: DataFrame) -> DataFrame:
             hashes = np.concatenate([*parts, np.zeros(0, "<i8")])
             yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(hashes)], ["id", "hash"])
 
-    wanted = sets.join(docs, "id", "left_semi").select("id", "hashes")
-    return wanted.mapInArrow(run, "id bigint, hash bigint")
+    return _only(sets, docs).select("id", "hashes").mapInArrow(run, "id bigint, hash bigint")
 
 
 def _able(mixed: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
@@ -436,10 +443,12 @@ def _left_links(members: DataFrame, links: DataFrame, sets: DataFrame, percent:
     """
     rows = members.where("n > 2").select("key", "id").join(components(links), "id", "left")
     rows = stage(_mixed(rows.withColumn("component", F.coalesce("component", "id"))), "mixed")
-    tokens = _tokens(sets, rows.select("id").distinct())
+    tokens = _tokens(sets, stage(rows.select("id").distinct(), "left-over"))
     # An id that repeats with several texts counts with the shortest, which rules out the least.
     sizes = sets.groupBy("id").agg(F.min("n").alias("n"))
-    return _compared(stage(_able(rows.join(sizes, "id"), tokens, percent), "able"), sets, percent)
+    able = stage(_able(rows.join(sizes, "id"), tokens, percent), "able")
+    # Only the sets that are still to be compared travel.
+    return _compared(able, _only(sets, stage(able.select("id").distinct(), "able-ids")), percent)
 
 
 def _compared(mixed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

@@ -132,3 +132,22 @@ def test_left_over_members_settle_in_one_pass(documents, monkeypatch):
     rows = [(n, edited(rng, base, rng.choice([2, 3, 4]))) for n in range(100)]
     assert sorted(map(tuple, minhash.near_duplicates(documents(rows)).collect())) == by_hand(rows)
     assert len(made) == 2 and len(compared) == 1
+
+
+def test_bands_are_moved_once(spark):
+    bands = spark.createDataFrame([(7, 1), (7, 5), (7, 3), (8, 2), (9, 4), (9, 4)], "key bigint, id bigint")
+    members = minhash.bucket_members(bands)
+    assert sorted(map(tuple, members.collect())) == [(7, i, 1, 5, 3) for i in (1, 3, 5)]
+    plan = members._jdf.queryExecution().sparkPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan
+
+
+def test_only_sets_still_compared_travel(documents, monkeypatch):
+    """Sets that took no part in the left-over buckets are not dealt to blocks."""
+    seen = []
+    left = minhash._compared
+    monkeypatch.setattr(minhash, "_compared", lambda able, sets, p: seen.append((able, sets)) or left(able, sets, p))
+    rows = corpus(4)
+    assert sorted(map(tuple, minhash.near_duplicates(documents(rows)).collect())) == by_hand(rows)
+    able, sets = seen[0]
+    assert {r.id for r in sets.select("id").collect()} == {r.id for r in able.select("id").collect()}
