@@ -31,7 +31,7 @@ from tokenizers import Tokenizer
 from .common import bounded_batches, public_vocabulary
 
 #: Fragments a worker keeps. Beyond it the worker starts afresh; results do not change.
-CACHE_FRAGMENTS = 600_000
+CACHE_FRAGMENTS = 200_000
 
 # Letters below this one have been letters in every version of the character tables.
 _STABLE = "\u0530"
@@ -231,7 +231,7 @@ def byte_bpe(vocabulary: str, special: bool = True) -> ByteBpe:
 
 
 #: Texts are encoded this many characters at a time, so that fragments of a batch stay few.
-_CHUNK_CHARS = 1 << 22
+_CHUNK_CHARS = 1 << 20
 
 
 def encoded(texts: Sequence[str | None], bpe: ByteBpe) -> Iterator[bytes]:

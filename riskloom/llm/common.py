@@ -59,7 +59,7 @@ def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[int, l
         yield start, [t or b"" for t in texts.slice(start, end - start).to_pylist()]
 
 
-def _release() -> None:
+def release() -> None:
     """Give freed memory back to the machine, for workers go on to other stages."""
     pa.default_memory_pool().release_unused()
     try:
@@ -76,8 +76,8 @@ def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
         for batch in run(batches):
             yield batch
             del batch
-            _release()
-        _release()
+            release()
+        release()
 
     return released
 

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from ..session import stage
 from .bpe import byte_bpe, encoded, text_batches
-from .common import bounded_batches, public_vocabulary
+from .common import bounded_batches, public_vocabulary, release
 from .ranges import RangeReader, file_blocks, spread, write_bytes
 
 GUARD = b"\n"
@@ -112,6 +112,9 @@ def write_records(
                 ids = encoded(texts, bpe)
                 rows = [pack_record(k, i + end, width) for k, i in zip(keys[at:], ids)]
                 yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["record"])
+            # A worker goes on to other tasks, so what a batch took goes back.
+            batch = texts = ids = rows = None
+            release()
 
     narrow = documents.select(F.col(key).cast("long").alias("_key"), F.col(text).alias("_text"))
     files = max(1, ceil(narrow.select("_key").count() / rows_per_file))

@@ -1,7 +1,10 @@
 import hashlib
+import random
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -77,3 +80,19 @@ def test_encode_then_decode(documents, odd_rows):
 
 def test_empty_table(documents):
     assert bpe.round_trip(documents([])).collect() == []
+
+
+def test_memory_of_texts_full_of_new_fragments():
+    """Texts of many unlike words, as a long-lived worker meets them."""
+    rng = random.Random(1)
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=4))
+    texts = pa.array([" ".join(word() for _ in range(4000)) for _ in range(400)])
+    encoder = bpe.ByteBpe(PATH)
+    tracemalloc.start()
+    try:
+        for _, part in bpe.text_batches(pa.RecordBatch.from_arrays([texts], ["text"]), "text"):
+            for _ in bpe.encoded(part, encoder):
+                pass
+        assert tracemalloc.get_traced_memory()[1] < 110e6
+    finally:
+        tracemalloc.stop()
