@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from contract import fixtures as fx
 from riskloom import session
-from riskloom.operators import anomaly, models, splits, training
+from riskloom.operators import anomaly, descent, models, splits, training
 from riskloom.plans import jobs
 from riskloom.schema import FEATURES
 
@@ -73,6 +73,68 @@ def test_early_stopping_stops(make):
     assert len(history.auc) <= 6 and history.model is not None
 
 
+NET = ["a", "b", "c"]
+
+
+@pytest.fixture
+def net_rows(make):
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(300, 3))
+    return make([(int(r[0] * r[1] > 0), *map(float, r)) for r in x], "y int, a double, b double, c double")
+
+
+def test_rounds_go_on_from_the_optimizer(net_rows):
+    """Five rounds of two steps end where one round of ten does."""
+    runs = [
+        models.train_early_stopping(net_rows, net_rows, NET, "y", 99, rounds, steps, (4, 3))
+        for rounds, steps in ((5, 2), (1, 10))
+    ]
+    assert runs[0].auc[-1] == pytest.approx(runs[1].auc[-1], abs=1e-6)
+    assert runs[0].auc[-1] > runs[0].auc[0]
+
+
+def test_gradient_and_scores_are_those_of_the_network(net_rows):
+    model = models.train_mlp(net_rows, NET, "y", (4, 3), 3)
+    weights, sizes = model.weights.toArray(), [3, 4, 3, 2]
+    rows = net_rows.withColumn("y", F.col("y").cast("double"))
+    loss, gradient = descent.loss_and_gradient(rows, sizes, weights)
+    wanted = models.with_probability(model, net_rows, NET, ("y",))
+    found = descent.probabilities(rows, sizes, weights, "p").toPandas().sort_values("p")["p"].to_numpy()
+    assert np.allclose(found, np.sort([r["fraud_probability"] for r in wanted.collect()]), atol=1e-12)
+    p = F.col("fraud_probability")
+    assert loss == pytest.approx(wanted.agg(-F.avg(F.ln(F.when(F.col("y") == 1, p).otherwise(1 - p)))).first()[0])
+    for place in (0, 11, 13, 30, len(weights) - 1):
+        step = 1e-5 * np.eye(len(weights))[place]
+        up, down = (descent.loss_and_gradient(rows, sizes, w)[0] for w in (weights + step, weights - step))
+        assert (up - down) / 2e-5 == pytest.approx(gradient[place], abs=1e-8)
+
+
+@pytest.mark.parametrize("column, bad", [("y", None), ("y", 2), ("a", float("nan"))])
+def test_early_stopping_refuses_what_the_network_refuses(net_rows, column, bad):
+    kind = dict(net_rows.dtypes)[column]
+    rows = net_rows.withColumn(column, F.when(F.col("c") > 0, F.col(column)).otherwise(F.lit(bad).cast(kind)))
+    with pytest.raises(Exception, match="labels must be|inputs must be"):
+        models.train_early_stopping(rows, net_rows, NET, "y", 1, 1, 1, (3,))
+
+
+def test_descent_takes_few_passes():
+    """A narrow valley: one or two evaluations a step, and none once the end is reached."""
+    calls = []
+
+    def valley(w):
+        calls.append(1)
+        scale = np.array([1.0, 30.0, 900.0])
+        return float((scale * w * w).sum() / 2), scale * w
+
+    walk = descent.Descent(valley, np.array([3.0, -2.0, 1.0]))
+    for _ in range(25):
+        walk.step()
+    assert np.abs(walk.weights).max() < 1e-4 and len(calls) <= 60
+    rest = descent.Descent(lambda w: (0.0, 0 * w), np.ones(2))
+    rest.step()
+    assert rest.weights.tolist() == [1, 1]
+
+
 def test_marketing_job(spark, sf_dir):
     from riskloom.operators.features import marketing_customer_day
 
