@@ -6,98 +6,168 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-# Rows computed together, which the processor's cache holds; steps remembered for the
-# curvature; trials of one step's length.
-BLOCK_ROWS = 2000
+# Rows stored together, and those of them computed together, which the processor's cache
+# holds; steps remembered for the curvature; trials of one step's length.
+PACKED_ROWS = 16_384
+BLOCK_ROWS = 1000
 MEMORY = 10
 TRIALS = 12
 
+PACKED = "packed"
+
 Batches = Iterator[pa.RecordBatch]
 
 
+def pack(rows: DataFrame, checked: bool = True) -> DataFrame:
+    """``rows`` in blocks of up to ``PACKED_ROWS``, a row each, ``checked`` here once for all passes.
+
+    ``rows`` has the label, 0 or 1, and then the inputs, all doubles. A block is stored by
+    column, so that a pass hands a few bytes a row to Python instead of every value.
+    """
+    most = PACKED_ROWS
+
+    def stored(table: pa.Table) -> pa.RecordBatch:
+        label, *inputs = (column.to_numpy() for column in table.columns)
+        if checked and not np.isin(label, (0, 1)).all():
+            raise ValueError("labels must be 0 or 1")
+        if checked and not all(np.isfinite(column).all() for column in inputs):
+            raise ValueError("inputs must be finite")
+        sink = pa.BufferOutputStream()
+        pq.write_table(table, sink, compression="none", write_statistics=False)
+        return pa.RecordBatch.from_arrays([pa.array([sink.getvalue().to_pybytes()])], ["packed"])
+
+    def run(batches: Batches) -> Batches:
+        waiting, count = [], 0
+        for batch in batches:
+            waiting.append(batch)
+            count += batch.num_rows
+            if count >= most:
+                table = pa.Table.from_batches(waiting)
+                for start in range(0, count - most + 1, most):
+                    yield stored(table.slice(start, most))
+                waiting, count = table.slice(count - count % most).to_batches(), count % most
+        if count:
+            yield stored(pa.Table.from_batches(waiting))
+
+    return rows.mapInArrow(run, f"{PACKED} binary")
+
+
+def _packed(rows: DataFrame, checked: bool) -> DataFrame:
+    return rows if rows.columns == [PACKED] else pack(rows, checked)
+
+
 def loss_and_gradient(rows: DataFrame, sizes: list[int], weights: np.ndarray) -> tuple[float, np.ndarray]:
     """Mean cross-entropy of a sigmoid network with softmax output, and its gradient.
 
-    ``rows`` has the label, 0 or 1, and then the inputs, all doubles. Weights lie as in MLlib's network.
-    A task sends one row of sums, whose length the layers fix; they are added up in a tree.
+    ``rows`` are those of ``pack``, or what it takes. Weights lie as in MLlib's network. A task
+    sends its sums, whose number the layers fix; they are added up before they reach the driver.
     """
-    found = rows.mapInArrow(_sums(sizes, weights), "sums array<double>").rdd
-    loss, count, *gradient = found.map(lambda row: np.array(row[0])).treeReduce(np.add)
+    found = _packed(rows, True).mapInArrow(_sums(sizes, weights), "place int, value double")
+    sums = np.zeros(len(weights) + 2)
+    # As many rows as there are weights.
+    total = found.groupBy("place").agg(F.sum("value").alias("value")).toArrow()
+    sums[total["place"].to_numpy()] = total["value"].to_numpy()
+    loss, count, *gradient = sums
     if not count:
         raise ValueError("no rows to train on")
     return loss / count, np.array(gradient) / count
 
 
-def probabilities(rows: DataFrame, sizes: list[int], weights: np.ndarray, output: str) -> DataFrame:
-    """The label and the probability of class 1, as MLlib's network with these weights gives it."""
-    label = rows.columns[0]
-    _, blocks, forward = _network(sizes, weights)
+def probabilities(
+    rows: DataFrame, sizes: list[int], weights: np.ndarray, output: str, label: str | None = None
+) -> DataFrame:
+    """The label and the probability of class 1, as MLlib's network with these weights gives it.
+
+    ``rows`` as for ``loss_and_gradient``; packed ones do not know what the ``label`` was called.
+    """
+    label = label or rows.columns[0]
+    _, pieces, forward = _network(sizes, weights)
 
     def run(batches: Batches) -> Batches:
-        for block in blocks(batches):
-            found = np.exp(forward(block)[1][:, 1])
-            yield pa.RecordBatch.from_arrays([block.column(0), pa.array(found)], [label, output])
+        for actual, values in pieces(batches):
+            with np.errstate(over="ignore"):
+                found = 1 / (1 + np.exp(-forward(values)))
+            yield pa.RecordBatch.from_arrays([pa.array(actual, from_pandas=True), pa.array(found)], [label, output])
 
-    return rows.mapInArrow(run, f"`{label}` double, `{output}` double")
+    return _packed(rows, False).mapInArrow(run, f"`{label}` double, `{output}` double")
 
 
 def _network(sizes: list[int], weights: np.ndarray):
-    """Places and shape of each layer's weights, and the functions that cut blocks and run one forward.
+    """Each layer's weights by input, the bias as one more, and the functions that read packed rows and run them forward.
 
     They are closures, so that they travel with the tasks.
     """
     layers, first, most = [], 0, BLOCK_ROWS
     for a, b in zip(sizes, sizes[1:]):
-        matrix, bias = slice(first, first + a * b), slice(first + a * b, first + a * b + b)
-        layers.append((matrix, bias, (a, b)))
-        first = bias.stop
-
-    def blocks(batches: Batches) -> Batches:
+        place = slice(first, first + (a + 1) * b)
+        layers.append((place, weights[place].reshape(a + 1, b)))
+        first = place.stop
+    # Of two outputs only the difference counts.
+    *hidden, last = (matrix.T.copy() for _, matrix in layers)
+    hidden, last = [-matrix for matrix in hidden], last[1] - last[0]
+
+    def pieces(batches: Batches) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
+        """Labels, and the inputs of each layer by column, the first ones filled in, of rows computed together.
+
+        The last input is one. The arrays are the same ones for all pieces: new memory is dearer
+        than what is computed in it.
+        """
+        space = [np.ones((size + 1, most)) for size in sizes[:-1]]
         for batch in batches:
-            for start in range(0, batch.num_rows, most):
-                yield batch.slice(start, most)
-
-    def forward(block: pa.RecordBatch) -> tuple[list[np.ndarray], np.ndarray]:
-        """The inputs of each layer, and the logarithms of the two probabilities."""
-        values = [np.column_stack([c.to_numpy(zero_copy_only=False) for c in block.columns[1:]])]
-        for matrix, bias, shape in layers:
-            out = values[-1] @ weights[matrix].reshape(shape) + weights[bias]
-            if len(values) < len(layers):
-                with np.errstate(over="ignore"):
-                    values.append(1 / (1 + np.exp(-out)))
-        out -= out.max(axis=1, keepdims=True)
-        return values, out - np.log(np.exp(out).sum(axis=1, keepdims=True))
-
-    return layers, blocks, forward
+            for block in batch.column(0):
+                table = pq.ParquetFile(pa.BufferReader(block.as_buffer())).read(use_threads=False)
+                label, *columns = (column.to_numpy() for column in table.columns)
+                for start in range(0, len(label), most):
+                    actual = label[start : start + most]
+                    values = [array[:, : len(actual)] for array in space]
+                    for value, column in zip(values[0], columns):
+                        value[:] = column[start : start + most]
+                    yield actual, values
+
+    def forward(values: list[np.ndarray]) -> np.ndarray:
+        """Fills in the inputs of the later layers; returns the logarithm of the odds of class 1."""
+        for matrix, before, after in zip(hidden, values, values[1:]):
+            out = np.matmul(matrix, before, out=after[:-1])
+            with np.errstate(over="ignore"):
+                np.exp(out, out=out)
+            out += 1
+            np.reciprocal(out, out=out)
+        return last @ values[-1]
+
+    return layers, pieces, forward
 
 
 def _sums(sizes: list[int], weights: np.ndarray) -> Callable[[Batches], Batches]:
-    layers, blocks, forward = _network(sizes, weights)
+    layers, pieces, forward = _network(sizes, weights)
+    most = BLOCK_ROWS
 
     def run(batches: Batches) -> Batches:
         loss, count, gradient = 0.0, 0, np.zeros_like(weights)
-        for block in blocks(batches):
-            label = block.column(0).to_numpy(zero_copy_only=False)
-            if not np.isin(label, (0, 1)).all():
-                raise ValueError("labels must be 0 or 1")
-            values, logs = forward(block)
-            if not np.isfinite(values[0]).all():
-                raise ValueError("inputs must be finite")
-            at, actual = np.arange(len(label)), label.astype(int)
-            loss -= logs[at, actual].sum()
+        space = [np.empty((size, most)) for size in sizes]
+        for label, values in pieces(batches):
+            odds = forward(values)
+            errors = [array[:, : len(label)] for array in space]
+            # The loss is log(1 + exp(-odds)) of the actual class.
+            small = np.exp(-np.abs(odds))
+            loss += (np.maximum(odds, 0) - odds * label + np.log1p(small)).sum()
             count += len(label)
-            error = np.exp(logs)
-            error[at, actual] -= 1
+            error = errors[-1]
+            np.subtract(np.where(odds < 0, small, 1.0) / (1 + small), label, out=error[1])
+            np.negative(error[1], out=error[0])
             for n in reversed(range(len(layers))):
-                (matrix, bias, shape), value = layers[n], values[n]
-                gradient[matrix] += (value.T @ error).ravel()
-                gradient[bias] += error.sum(axis=0)
+                (place, matrix), value = layers[n], values[n]
+                gradient[place] += (value @ error.T).ravel()
                 if n:
-                    error = (error @ weights[matrix].reshape(shape).T) * value * (1 - value)
-        row = pa.array([[loss, float(count), *gradient]], pa.list_(pa.float64()))
-        yield pa.RecordBatch.from_arrays([row], ["sums"])
+                    error, value = np.matmul(matrix[:-1], error, out=errors[n]), value[:-1]
+                    error *= value
+                    error *= np.subtract(1, value, out=value)
+        if count:
+            places = pa.array(np.arange(len(weights) + 2, dtype=np.int32))
+            yield pa.RecordBatch.from_arrays([places, pa.array(np.array([loss, count, *gradient]))], ["place", "value"])
 
     return run
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
     MultilayerPerceptronClassificationModel,
@@ -18,7 +19,7 @@ from ..functions import rules
 from ..schema import FEATURES
 from ..session import stage
 from .clean import decision_threshold
-from .descent import Descent, loss_and_gradient, probabilities
+from .descent import Descent, loss_and_gradient, pack, probabilities
 from .metrics import roc_auc_binned
 from .splits import SEED, Scaler, apply_standard
 from .training import feature_columns, feature_matrix
@@ -29,6 +30,14 @@ MAX_ROUNDS = 50
 PATIENCE = 5
 # End of fixed values.
 
+# Parquet's settings for rows of many bytes, packed before: parts of some MB, not of a hundred rows at least.
+PACKED_FILES = {
+    "compression": "none",
+    "parquet.block.size": 8 << 20,
+    "parquet.block.size.row.check.min": 1,
+    "parquet.page.size.row.check.min": 1,
+}
+
 TRANSACTION_FEATURES = ["transaction_amount", "account_balance", "failed_tx"]
 
 
@@ -63,6 +72,39 @@ def train_mlp(
     return classifier.fit(matrix)
 
 
+def _network(
+    spark: SparkSession,
+    features: list[str],
+    label: str,
+    hidden: tuple[int, ...],
+    seed: int,
+    weights: np.ndarray | None = None,
+    max_iter: int = 0,
+) -> MultilayerPerceptronClassificationModel:
+    """MLlib's model with these weights, else with those it draws first, by a fit without a step."""
+    blank = spark.range(0, 1, 1, 1).select(*(F.lit(0.0).alias(name) for name in (label, *features)))
+    classifier = MultilayerPerceptronClassifier(
+        layers=[len(features), *hidden, 2], featuresCol="features", labelCol=label, maxIter=0, seed=seed
+    )
+    if weights is not None:
+        classifier = classifier.setInitialWeights(Vectors.dense(weights))
+    model = classifier.fit(feature_matrix(blank, features, keep=(label,)))
+    # The steps were taken before.
+    return model._set(maxIter=max_iter)
+
+
+def packed_rows(
+    df: DataFrame, features: list[str], label: str, name: str, spread: bool = True, checked: bool = True
+) -> DataFrame:
+    """Label and inputs of every row, packed and staged for the many passes over them.
+
+    Files are written in parts of a few blocks, which tasks of a bounded size can read.
+    """
+    rows = feature_columns(df.withColumn(label, F.col(label).cast("double")), features, (label,))
+    packed = pack(rows, checked)
+    return stage(spread_rows(packed) if spread else packed, name, **PACKED_FILES)
+
+
 def spread_rows(df: DataFrame) -> DataFrame:
     """Even partitions, one per core, or per shuffle partition if those are more."""
     spark = df.sparkSession
@@ -93,26 +135,21 @@ def train_early_stopping(
     """Train in short rounds, each from the last weights, until the AUC stops rising.
 
     The optimizer keeps its curvature from round to round, so that a step takes little
-    more than one pass over the training rows. Inputs are spread and staged once:
+    more than one pass over the training rows. Inputs are packed, spread and staged once:
     every pass reads them again.
     """
-    train = stage(spread_rows(train.select(label, *features)), "train")
-    validation = stage(validation.select(label, *features), "validation")
+    rows = packed_rows(train, features, label, "train")
+    held = packed_rows(validation, features, label, "validation", checked=False)
     best, best_auc, best_round = None, float("-inf"), 0
     history: list[float | None] = []
-    # MLlib draws the first weights and makes the model of the best ones, by fits without a step.
-    blank = train.sparkSession.range(0, 1, 1, 1).select(*(F.lit(0.0).alias(name) for name in (label, *features)))
-    start = train_mlp(blank, features, label, hidden, 0, seed, spread=False).weights.toArray()
+    # MLlib draws the first weights and makes the model of the best ones.
+    start = _network(train.sparkSession, features, label, hidden, seed).weights.toArray()
     sizes = [len(features), *hidden, 2]
-    rows, held = (
-        feature_columns(part.withColumn(label, F.col(label).cast("double")), features, (label,))
-        for part in (train, validation)
-    )
     descent = Descent(lambda weights: loss_and_gradient(rows, sizes, weights), start)
     for number in range(1, max_rounds + 1):
         for _ in range(steps_per_round):
             descent.step()
-        scored = probabilities(held, sizes, descent.weights, "fraud_probability")
+        scored = probabilities(held, sizes, descent.weights, "fraud_probability", label)
         auc = roc_auc_binned(scored, label, "fraud_probability").first()["auc"]
         history.append(auc)
         if best is None or (auc is not None and auc > best_auc):
@@ -120,7 +157,7 @@ def train_early_stopping(
             best_auc = auc if auc is not None else best_auc
         elif number - best_round >= patience:
             break
-    model = train_mlp(blank, features, label, hidden, 0, seed, Vectors.dense(best), spread=False)
+    model = _network(train.sparkSession, features, label, hidden, seed, best)
     return TrainingHistory(model, best_round, history)
 
 

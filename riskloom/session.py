@@ -147,14 +147,15 @@ def drop_scratch(spark: SparkSession) -> None:
     _delete(spark, _app_folder(spark))
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, **options: str | int) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     What follows sees fixed values, a short lineage that outlives lost
     executors, a prunable columnar scan, and a true size on disk, so that the
-    optimizer's own size check decides whether a join side is broadcast.
+    optimizer's own size check decides whether a join side is broadcast. ``options``
+    are the writer's.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -3,6 +3,8 @@
 import uuid
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -117,6 +119,48 @@ def test_early_stopping_refuses_what_the_network_refuses(net_rows, column, bad):
         models.train_early_stopping(rows, net_rows, NET, "y", 1, 1, 1, (3,))
 
 
+def test_packed_rows_are_all_there(spark):
+    """Rows of several batches and blocks, some of them equal, with an odd number left over."""
+    rows = spark.range(0, 45_001, 1, 2).selectExpr("id % 2 * 1D y", "id * 1D a", "id % 7 / 7D b")
+    packed = session.stage(descent.pack(rows), "packed", **models.PACKED_FILES)
+    tables = [pq.read_table(pa.BufferReader(bytes(row[0]))) for row in packed.collect()]
+    assert max(t.num_rows for t in tables) == descent.PACKED_ROWS and len(tables) == 4
+    found = pa.concat_tables(tables).to_pandas().sort_values("a").reset_index(drop=True)
+    assert found.equals(rows.toPandas())
+    sizes, weights = [2, 3, 2], np.random.default_rng(2).normal(size=17) / 10_000
+    for x, y in zip(descent.loss_and_gradient(packed, sizes, weights), descent.loss_and_gradient(rows, sizes, weights)):
+        assert np.allclose(x, y, rtol=1e-9, atol=1e-12)
+    scored = descent.probabilities(packed, sizes, weights, "p", "y")
+    assert scored.columns == ["y", "p"] and scored.agg(F.count("p"), F.sum("y")).first()[:] == (45_001, 22_500.0)
+
+
+def test_validation_rows_without_label_are_left_out(net_rows):
+    """They may have odd inputs as well."""
+    odd = net_rows.limit(20).select(F.lit(None).cast("int").alias("y"), "a", "b", F.lit(float("nan")).alias("c"))
+    runs = [
+        models.train_early_stopping(net_rows, held, NET, "y", 99, 2, 2, (4, 3)) for held in (net_rows, net_rows.union(odd))
+    ]
+    assert runs[0].auc == pytest.approx(runs[1].auc, abs=1e-9)
+
+
+def passes(monkeypatch):
+    """The columns of the rows that each pass reads, as they are noted."""
+    seen, real = [], models.loss_and_gradient
+
+    def noted(rows, sizes, weights):
+        seen.append(rows.columns)
+        return real(rows, sizes, weights)
+
+    monkeypatch.setattr(models, "loss_and_gradient", noted)
+    return seen
+
+
+def test_rounds_read_packed_rows(net_rows, monkeypatch):
+    seen = passes(monkeypatch)
+    models.train_early_stopping(net_rows, net_rows, NET, "y", 99, 4, 2, (4, 3))
+    assert all(columns == [descent.PACKED] for columns in seen) and 9 <= len(seen) <= 16
+
+
 def test_descent_takes_few_passes():
     """A narrow valley: one or two evaluations a step, and none once the end is reached."""
     calls = []
