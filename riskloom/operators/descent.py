@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -16,6 +17,9 @@ PACKED_ROWS = 16_384
 BLOCK_ROWS = 1000
 MEMORY = 10
 TRIALS = 12
+# Steps over which MLlib's optimizer compares losses, and the gradient it takes for none.
+LOSSES = 20
+FLAT = 1e-8
 
 PACKED = "packed"
 
@@ -199,6 +203,16 @@ class Descent:
             way = way + (part - turned @ way / (moved @ turned)) * moved
         return way
 
+    def run(self, steps: int, tolerance: float) -> None:
+        """Up to ``steps`` steps; fewer once they end, under the rules MLlib's optimizer stops by."""
+        least, losses = tolerance * self._loss, deque([np.inf], LOSSES)
+        for _ in range(steps):
+            self.step()
+            losses.append(self._loss)
+            flat = np.linalg.norm(self._gradient) <= max(tolerance * self._loss, FLAT)
+            if self._ended or flat or max(losses) - self._loss <= least:
+                return
+
     def step(self) -> None:
         """Move once; the weights stay where nothing lower is found."""
         way = self._direction()

@@ -28,6 +28,7 @@ from .training import feature_columns, feature_matrix
 HIDDEN = (64, 32)
 MAX_ROUNDS = 50
 PATIENCE = 5
+TOLERANCE = 1e-6
 # End of fixed values.
 
 # Parquet's settings for rows of many bytes, packed before: parts of some MB, not of a hundred rows at least.
@@ -53,23 +54,17 @@ def train_mlp(
 ) -> MultilayerPerceptronClassificationModel:
     """Fit the network on standardised columns.
 
-    Gradients are summed over the partitions in each round; only the weights,
-    whose number the layers fix, reach the driver. ``spread`` first evens out
-    the rows, as every round is as slow as its largest partition.
+    The rows are packed and staged once. Gradients are summed over the partitions in each step;
+    only the weights, whose number the layers fix, reach the driver. ``spread`` first evens out
+    the packed rows, as every step is as slow as its largest partition.
     """
-    matrix = feature_matrix(df, features, keep=(label,))
-    if spread:
-        matrix = spread_rows(matrix)
-    classifier = MultilayerPerceptronClassifier(
-        layers=[len(features), *hidden, 2],
-        featuresCol="features",
-        labelCol=label,
-        maxIter=max_iter,
-        seed=seed,
-    )
-    if initial_weights is not None:
-        classifier = classifier.setInitialWeights(initial_weights)
-    return classifier.fit(matrix)
+    rows = packed_rows(df, features, label, "train", spread)
+    if initial_weights is None:
+        initial_weights = _network(df.sparkSession, features, label, hidden, seed).weights
+    sizes = [len(features), *hidden, 2]
+    descent = Descent(lambda weights: loss_and_gradient(rows, sizes, weights), initial_weights.toArray())
+    descent.run(max_iter, TOLERANCE)
+    return _network(df.sparkSession, features, label, hidden, seed, descent.weights, max_iter)
 
 
 def _network(

@@ -6,6 +6,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.ml.classification import MultilayerPerceptronClassifier
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from contract import fixtures as fx
@@ -161,6 +163,48 @@ def test_rounds_read_packed_rows(net_rows, monkeypatch):
     assert all(columns == [descent.PACKED] for columns in seen) and 9 <= len(seen) <= 16
 
 
+def test_fit_reads_packed_rows(net_rows, monkeypatch):
+    """About a pass a step, and a fit no worse than MLlib's own from the same first weights."""
+    seen = passes(monkeypatch)
+    model = models.train_mlp(net_rows, NET, "y", (4, 3), 20)
+    assert all(columns == [descent.PACKED] for columns in seen) and 21 <= len(seen) <= 32
+    assert model.getMaxIter() == 20 and model.getLayers() == [3, 4, 3, 2]
+    theirs = MultilayerPerceptronClassifier(layers=[3, 4, 3, 2], labelCol="y", maxIter=20, seed=splits.SEED).fit(
+        training.feature_matrix(net_rows, NET, ("y",))
+    )
+    rows = net_rows.withColumn("y", F.col("y").cast("double"))
+    ours, loss = (descent.loss_and_gradient(rows, [3, 4, 3, 2], m.weights.toArray())[0] for m in (model, theirs))
+    assert ours <= loss * 1.05
+
+
+def test_fit_without_steps_keeps_its_weights(net_rows):
+    given = Vectors.dense(np.linspace(-1, 1, 39))
+    model = models.train_mlp(net_rows, NET, "y", (4, 3), 0, initial_weights=given)
+    assert model.weights == given
+    drawn, other = (models.train_mlp(rows, NET, "y", (4, 3), 0) for rows in (net_rows, net_rows.limit(9)))
+    assert drawn.weights == other.weights and drawn.weights != given
+
+
+@pytest.mark.parametrize("column, bad", [("y", None), ("y", 2), ("a", float("inf"))])
+def test_fit_refuses_what_the_network_refuses(net_rows, column, bad):
+    kind = dict(net_rows.dtypes)[column]
+    rows = net_rows.withColumn(column, F.when(F.col("c") > 0, F.col(column)).otherwise(F.lit(bad).cast(kind)))
+    with pytest.raises(Exception, match="labels must be|inputs must be"):
+        models.train_mlp(rows, NET, "y", (3,), 1)
+
+
+@pytest.mark.parametrize("scale, most", [(np.array([1.0, 1.0]), 3), (np.array([0.0, 0.0]), 1), (np.array([1e-9, 1e-9]), 1)])
+def test_descent_ends_where_nothing_is_left(scale, most):
+    calls = []
+
+    def bowl(w):
+        calls.append(1)
+        return float((scale * w * w).sum() / 2 + 1), scale * w
+
+    descent.Descent(bowl, np.array([1.0, 2.0])).run(50, 1e-6)
+    assert len(calls) <= most + 1
+
+
 def test_descent_takes_few_passes():
     """A narrow valley: one or two evaluations a step, and none once the end is reached."""
     calls = []
